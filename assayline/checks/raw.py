@@ -231,6 +231,7 @@ FROM l
 """
 
 RAW = {"customers": CUSTOMERS, "cars": CARS, "policy": POLICY, "sales": SALES, "claims": CLAIMS}
+WITH_GHOSTS = {"sales"}  # entities whose statement makes rows without any value
 TABLES = ("customer", "part", "orders", "events", "lineitem", "nation", "region", "supplier")
 
 
@@ -238,4 +239,5 @@ def bronze(spark: SparkSession, folder: str, entity: str) -> DataFrame:
     """Raw records of one entity, without ghost rows."""
     sql = RAW[entity].replace("{q}", "`")
     tables = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TABLES if f"{{{t}}}" in sql}
-    return drop_ghost_rows(spark.sql(sql, **tables))
+    df = spark.sql(sql, **tables)
+    return drop_ghost_rows(df) if entity in WITH_GHOSTS else df

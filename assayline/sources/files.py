@@ -158,7 +158,11 @@ def source_label(file, pattern: str = K.LABEL_PATTERN) -> Column:
 
 
 def drop_ghost_rows(df: DataFrame) -> DataFrame:
-    """Without the rows in which every data column is NULL."""
+    """Without the rows in which every data column is NULL.
+
+    Store the result before renaming many columns: the optimizer restates a filter
+    for every combination of old and new names.
+    """
     data = [F.col(f"`{c}`").cast("string") for c in df.columns if not c.startswith("_")]
     return df.filter(F.coalesce(*data).isNotNull()) if data else df
 
