@@ -50,8 +50,9 @@ def before_after(raw: DataFrame, clean: DataFrame, raw_key: Column, key: str,
 
 
 def extreme(df: DataFrame, by: str, tie: Sequence[str], largest: bool = True) -> DataFrame:
-    """The one row with the largest or smallest value; ties by the given columns."""
-    first = F.col(by).desc_nulls_last() if largest else F.col(by).asc_nulls_first()
+    """The one row with the largest or smallest value; ties by the given columns. A row
+    without a value comes last either way."""
+    first = F.col(by).desc_nulls_last() if largest else F.col(by).asc_nulls_last()
     return df.orderBy(first, *[F.col(c).asc_nulls_last() for c in tie]).limit(1)
 
 
