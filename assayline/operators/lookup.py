@@ -28,9 +28,11 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     a key carry a salt that matches nothing and spreads them over all tasks.
     """
     values = [c for c in dim.columns if c != dim_key]
-    hot = hot_keys(fact, fact_key, share).withColumnRenamed(fact_key, "_hot_key")
+    hot = F.broadcast(hot_keys(fact, fact_key, share).withColumnRenamed(fact_key, "_hot_key"))
+    # the dimension is filtered in place; what remains is as small as the hot keys
+    hot_rows = F.broadcast(dim.join(hot, F.col(dim_key) == F.col("_hot_key"), "left_semi"))
     hot_dim = F.broadcast(
-        hot.join(dim, F.col("_hot_key") == F.col(dim_key), "left")
+        hot.join(hot_rows, F.col("_hot_key") == F.col(dim_key), "left")
         .select("_hot_key", *[F.col(c).alias(f"_hot_{c}") for c in values]))
     cold_dim = dim.select(F.col(dim_key).alias("_dim_key"), F.lit(0).alias("_dim_salt"),
                           *[F.col(c).alias(f"_cold_{c}") for c in values])
@@ -42,7 +44,8 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
         .join(hot_dim, F.col(fact_key) == F.col("_hot_key"), "left")
         .withColumn("_salt", F.when(set_apart, F.col("_spread")).otherwise(F.lit(0)).cast("int"))
         # a NULL would be hashed to one task whatever the salt, so it joins as its salt
-        .withColumn("_join_key", F.coalesce(F.col(fact_key), F.col("_spread")))
+        .withColumn("_join_key", F.coalesce(
+            F.col(fact_key), F.col("_spread").cast(fact.schema[fact_key].dataType)))
         .join(cold_dim, (F.col("_join_key") == F.col("_dim_key"))
               & (F.col("_salt") == F.col("_dim_salt")), "left")
         .select(*[F.col(c) for c in fact.columns],

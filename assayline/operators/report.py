@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline import contracts as K
+from assayline.operators.lookup import lookup
 from assayline.operators.rules import KIND, REASON, union_all
 
 
@@ -46,7 +47,8 @@ def before_after(raw: DataFrame, clean: DataFrame, raw_key: Column, key: str,
     """Raw next to cleaned values of each key that is in the clean table. A key that
     came in several times has one row per raw version; the caller may limit it."""
     left = raw.select(raw_key.alias(key), *[c.alias(f"{n}_raw") for n, c in before.items()])
-    return left.join(clean.select(key, *after), key, "inner")
+    right = clean.select(F.col(key).alias("_key"), *after, F.lit(True).alias("_known"))
+    return lookup(left, right, key, "_key").filter("_known").drop("_known")
 
 
 def extreme(df: DataFrame, by: str, tie: Sequence[str], largest: bool = True) -> DataFrame:
