@@ -38,15 +38,19 @@ def exact_quantiles(df: DataFrame, wanted: Mapping[str, tuple[str, float]],
         for name, (c, p) in wanted.items()])))
     totals = counts.groupBy("c").agg(F.sum("n").alias("total"))
     state = asked.join(totals, "c").select(
-        "name", "c", F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))).alias("rank"))
+        "name", "c",
+        F.greatest(F.lit(1), F.ceil(F.col("p") * F.col("total"))).cast("bigint").alias("rank"))
 
     for power in ROUNDS:
         step = 10**power
         block = F.expr(f"(v - pmod(v, {step}L)) div {step}L")
         scope = counts.withColumn("block", block)
-        match = scope["c"] == state["c"]
+        # null-safe, since a plain equality would add a filter to the counts that differs
+        # from round to round, and they would be counted anew each time
+        match = scope["c"].eqNullSafe(state["c"])
         if power != ROUNDS[0]:
-            match = match & (F.expr("(block - pmod(block, 10000L)) div 10000L") == state["prefix"])
+            match = match & F.expr("(block - pmod(block, 10000L)) div 10000L").eqNullSafe(
+                state["prefix"])
         groups = (
             scope.join(F.broadcast(state), match)
             .groupBy(state["name"], state["c"], state["rank"], "block")

@@ -41,7 +41,7 @@ def ingest(spark: SparkSession, source: Source, paths: str | Sequence[str],
            infer_types: bool = False, label_pattern: str = K.LABEL_PATTERN) -> DataFrame:
     """Bronze frame of one entity: the files of a folder tree, or a list of files."""
     if source.fmt == "json":
-        df = read_json(spark, source, paths)
+        df = read_json(spark, source, paths, infer_types)
     else:
         df = read_csv(spark, source, paths, infer_types)
     df = with_provenance(df, label_pattern)
@@ -102,11 +102,13 @@ def read_csv(spark: SparkSession, source: Source, paths: str | Sequence[str],
     return union_all(frames, allow_missing=True)
 
 
-def read_json(spark: SparkSession, source: Source, paths: str | Sequence[str]) -> DataFrame:
-    """JSON files, one array per file. Fields are found in the data and read as text."""
+def read_json(spark: SparkSession, source: Source, paths: str | Sequence[str],
+              infer_types: bool = False) -> DataFrame:
+    """JSON files, one array per file. Fields are found in the data and read as text,
+    unless their types are to be inferred."""
     r = (_reader(spark, source, not isinstance(paths, str))
          .option("multiLine", source.options.get("multiLine", True))
-         .option("primitivesAsString", True))
+         .option("primitivesAsString", not infer_types))
     df = r.json(paths if isinstance(paths, str) else list(paths))
     df = df.select("*", F.col("_metadata.file_path").alias("_source_file"))
     df = _rescue(df, source.columns)

@@ -31,9 +31,10 @@ def _write(df, name, mode, comment, partition_by, rows_per_file) -> None:
     if "/" in name:
         w.save(name)
         return
-    if comment:
-        w = w.option("comment", comment)
     w.saveAsTable(name)
+    if comment:
+        text = comment.replace("\\", "\\\\").replace("'", "\\'")
+        df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
 
 
 def tpc(spark: SparkSession, folder: str, name: str) -> DataFrame:

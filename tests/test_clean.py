@@ -127,5 +127,6 @@ def test_response_text(values):
         '[{"type":"reasoning","summary":[{"type":"summary_text","text":"r"}]}]',
         '[{"type":"text","text":" "},{"type":"reasoning","summary":[{"type":"summary_text","text":"r"}]},'
         '{"type":"text","text":"b"}]',
-        '{"type":"text","text":"one"}', '[not json'], X.response_text("c"))
-    assert got == ["plain", "a", "r", "b", '{"type":"text","text":"one"}', "[not json"]
+        '{"type":"text","text":"one"}', '[not json', "[{'type': 'text', 'text': 'single'}]"],
+        X.response_text("c"))
+    assert got == ["plain", "a", "r", "b", '{"type":"text","text":"one"}', "[not json", "single"]

@@ -292,3 +292,34 @@ def test_previews(bronze, layers):
     assert Counter(r["claim_id"] for r in got.collect()) == {1: 2, 2: 1, 3: 1, 13: 1, 14: 1, 15: 1}
     assert {r["cnt"] for r in report.breakdown(layers["quarantine_cars"]).collect()} == {1}
     assert report.pass_counts({"a": layers["silver_cars"]}).collect()[0]["passed_records"] == 2
+
+
+def test_whole_run(spark, tmp_path):
+    from assayline.plans.run import run
+    done = run(spark, fixture_files.write(f"{tmp_path}/raw"), f"{tmp_path}/out")
+    assert done["gold/fact_claims"].count() == 6 and done["gold/insights"].count() == 3
+    # all amounts and vehicle counts are equal, so each is at its p95: 15 + 10 = 25 for everyone
+    assert done["gold/anomaly_report"].count() == 6
+    assert done["silver/quality_log"].count() == done["gold/dq_report"].count()
+    assert "agg_timestamp" in done["gold/unsold_by_model_region"].columns
+    again = run(spark, f"{tmp_path}/raw", f"{tmp_path}/out")
+    assert again["gold/fact_claims"].count() == 6
+
+
+def test_table_comment(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS notes LOCATION '{tmp_path}/notes'")
+    tables.overwrite(spark.range(3), "notes.t", comment="Gold: it's a test")
+    try:
+        assert tables.read(spark, "notes.t").count() == 3
+        rows = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED notes.t").collect()}
+        assert rows["Comment"] == "Gold: it's a test"
+        got = report.table_counts(spark, ["notes.t", "notes.u"]).collect()
+        assert [tuple(r) for r in got] == [("notes.t", True, 3), ("notes.u", False, None)]
+    finally:
+        spark.sql("DROP DATABASE notes CASCADE")
+
+
+def test_json_type_inference(spark, tmp_path):
+    fixture_files.write(str(tmp_path))
+    df = ingest(spark, SOURCES["claims"], str(tmp_path), infer_types=True)
+    assert df.schema["ClaimID"].dataType.simpleString() == "bigint"
