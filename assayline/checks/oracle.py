@@ -381,6 +381,22 @@ FROM raw_customers r JOIN silver_customers s ON s.customer_id = COALESCE(
   TRY_CAST(r.CustomerID AS INTEGER), TRY_CAST(r.Customer_ID AS INTEGER),
   TRY_CAST(r.cust_id AS INTEGER))""", "raw_customers", "silver_customers")
 
+for _e, _key, _raw_key, _before, _after in (
+    ("cars", "car_id", "car_id", "fuel transmission seats km_driven mileage",
+     "fuel transmission seats km_driven mileage_kmpl"),
+    ("policy", "policy_number", "policy_number", "policy_bind_date policy_state umbrella_limit",
+     "policy_bind_date:d policy_state umbrella_limit umbrella_limit_warning"),
+    ("sales", "sales_id", "sales_id", "ad_placed_on sold_on region owner",
+     "ad_placed_on:t sold_on:t region owner sale_status"),
+    ("claims", "claim_id", "ClaimID", "claim_processed_on collision_type claim_rejected",
+     "claim_processed_on:d collision_type is_rejected claim_status"),
+):
+    _put(f"before_after_{_e}", f"""
+SELECT * FROM (SELECT TRY_CAST({_raw_key} AS INTEGER) AS {_key},
+  {', '.join(f'{c} AS {c}_raw' for c in _before.split())} FROM raw_{_e})
+JOIN (SELECT {_key}, {_show(_after)} FROM silver_{_e}) USING ({_key})""",
+         f"raw_{_e}", f"silver_{_e}")
+
 _put("broken_claims", r"""
 SELECT claimid,
   CASE WHEN b >= a AND a > 0 AND b > 0 THEN b - a END AS days_to_process, m AS incident_minute,

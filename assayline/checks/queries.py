@@ -410,6 +410,30 @@ def before_after_customers(spark, folder):
         before, ("region", "education", "marital_status", "job"))
 
 
+_PREVIEWS = {  # raw key, raw columns, cleaned columns
+    "cars": ("car_id", ("fuel", "transmission", "seats", "km_driven", "mileage"),
+             ("fuel", "transmission", "seats", "km_driven", "mileage_kmpl")),
+    "policy": ("policy_number", ("policy_bind_date", "policy_state", "umbrella_limit"),
+               ("policy_bind_date", "policy_state", "umbrella_limit", "umbrella_limit_warning")),
+    "sales": ("sales_id", ("ad_placed_on", "sold_on", "region", "owner"),
+              ("ad_placed_on", "sold_on", "region", "owner", "sale_status")),
+    "claims": ("claimid", ("claim_processed_on", "collision_type", "claim_rejected"),
+               ("claim_processed_on", "collision_type", "is_rejected", "claim_status")),
+}
+
+
+def _preview(entity: str) -> Query:
+    raw_key, before, after = _PREVIEWS[entity]
+    return lambda spark, folder: portable(P.before_after(
+        bronze(spark, folder, entity), silver(spark, folder, entity),
+        F.col(raw_key).try_cast("int"), S.ENTITIES[entity].key,
+        {c: F.col(c) for c in before}, after))
+
+
+for _e in _PREVIEWS:
+    QUERIES[f"before_after_{_e}"] = _preview(_e)
+
+
 @query
 def broken_claims(spark, folder):
     return portable(S.broken_claim_times(bronze(spark, folder, "claims")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,15 +21,15 @@ def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           share: int = HOT_SHARE, spread_by: str | None = None) -> DataFrame:
+           share: int = HOT_SHARE, spread_by: Sequence[str] | None = None) -> DataFrame:
     """Fact rows with the columns of the dimension, NULL where the key is unknown.
 
     Rows of hot keys take their values from a broadcast of fewer than `share`
     dimension rows. All other rows join by a shuffle (or by a broadcast that Spark
     chooses for a small dimension). In that join the hot rows and the rows without
     a key carry a salt that matches nothing and spreads them over all tasks. The salt
-    comes from the input partition and one column, by default the first, which should
-    tell rows apart; it is the same when a task is retried.
+    comes from the input partition and the columns `spread_by`, by default the first,
+    which should tell rows apart; it is the same when a task is retried.
     """
     values = [c for c in dim.columns if c != dim_key]
     hot = F.broadcast(hot_keys(fact, fact_key, share).withColumnRenamed(fact_key, "_hot_key"))
@@ -39,7 +41,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     cold_dim = dim.select(F.col(dim_key).alias("_dim_key"), F.lit(0).alias("_dim_salt"),
                           *[F.col(c).alias(f"_cold_{c}") for c in values])
     salts = salt_count(fact.sparkSession)
-    spread = 1 + F.pmod(F.xxhash64(F.spark_partition_id(), spread_by or fact.columns[0]),
+    spread = 1 + F.pmod(F.xxhash64(F.spark_partition_id(), *(spread_by or fact.columns[:1])),
                         F.lit(salts))
     set_apart = F.col("_hot_key").isNotNull() | F.col(fact_key).isNull()
     return (

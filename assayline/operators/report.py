@@ -48,7 +48,7 @@ def before_after(raw: DataFrame, clean: DataFrame, raw_key: Column, key: str,
     came in several times has one row per raw version; the caller may limit it."""
     left = raw.select(raw_key.alias(key), *[c.alias(f"{n}_raw") for n, c in before.items()])
     right = clean.select(F.col(key).alias("_key"), *after, F.lit(True).alias("_known"))
-    return lookup(left, right, key, "_key").filter("_known").drop("_known")
+    return lookup(left, right, key, "_key", spread_by=left.columns).filter("_known").drop("_known")
 
 
 def extreme(df: DataFrame, by: str, tie: Sequence[str], largest: bool = True) -> DataFrame:

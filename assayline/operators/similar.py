@@ -40,8 +40,10 @@ def cosine_top_k(queries: DataFrame, documents: DataFrame, k: int = TOP_K,
         chunk = queries if passes == 1 else queries.filter(
             F.pmod(F.xxhash64("q"), F.lit(passes)) == i)
         rows = chunk.orderBy("q").collect()
-        if rows:
-            parts.append(_candidates(rows, qtype, documents, doc_id, doc_vector, k))
+        # a hash may fill one pass beyond the mark; the surplus gets a pass of its own
+        for start in range(0, len(rows), per_pass):
+            parts.append(_candidates(rows[start:start + per_pass], qtype, documents, doc_id,
+                                     doc_vector, k))
     if not parts:
         return documents.sparkSession.createDataFrame([], T.StructType([
             T.StructField(query_id, qtype), T.StructField(doc_id, documents.schema[doc_id].dataType),
