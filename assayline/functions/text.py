@@ -79,6 +79,8 @@ def block_text(c, index: int = 1) -> Column:
     return F.get_json_object(F.get_json_object(as_col(c), f"$[{index}]"), "$.text")
 
 
+# The wording below, in the sentence and in the labels of the briefs, is fixed: stored
+# texts and whatever was derived from them depend on it.
 def policy_sentence() -> Column:
     """One policy row as prose, the unit of retrieval."""
     active = F.when(F.coalesce(F.col("is_active"), F.lit(False)),

@@ -145,7 +145,7 @@ def state_text(dim_policy: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Insight rows, one per business domain.
+# Insight rows, one per business domain. Ids, titles and labels are fixed values.
 # ---------------------------------------------------------------------------
 def policy_domain(dim_policy: DataFrame) -> DataFrame:
     one = policies(dim_policy).withColumn("top_5_states_by_volume", state_text(dim_policy).scalar())
