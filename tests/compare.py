@@ -9,8 +9,9 @@ from pathlib import Path
 
 import duckdb
 
-from assayline.checks.oracle import ORACLE
-from assayline.checks.queries import QUERIES
+import __spark_entry__ as entry
+
+QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -23,7 +24,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
         if Path(folder, f"{t}.parquet").exists():
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+            part = f"{folder}/{t}.parquet" + ("/*.parquet" if Path(folder, f"{t}.parquet").is_dir() else "")
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{part}')")
     return con
 
 
