@@ -289,6 +289,9 @@ def suffixes(text: np.ndarray, folder: str, limit: int, depth: int, carry: bool
     """Tuples (pos, lcp) of all suffixes by their first `depth` characters, a bucket of one first
     character at a time from the largest down, ascending inside. The last character must be the
     smallest and occur once. `lcp` is the prefix shared with the one before in the bucket."""
+    if len(text) == 1:
+        yield np.zeros(1, TUPLE)
+        return
     small = types_of(text, folder, limit)
     seeds = seeds_in_order(text, small, folder, limit, depth)
     lcp = None
