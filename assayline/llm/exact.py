@@ -15,8 +15,13 @@ from pyspark.sql import functions as F
 from assayline.llm.common import SPACE, stored
 from assayline.session import scratch
 
-STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings of the stream: state on disk; a store is closed once its batch is committed, so that
+#: open stores (some MB of disk each) do not grow with the number of partitions.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 #: Documents of one group that are compared with the same copy of the text that stays.
 PER_SALT = 2000
 
@@ -39,8 +44,9 @@ def keep_state(digests: DataFrame, files_per_batch: int) -> DataFrame:
     spark = digests.sparkSession
     folder, log = scratch(spark, "digests"), scratch(spark, "dedup-state")
     digests.write.parquet(folder)
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ROCKS)
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         (spark.readStream.schema(digests.schema).option("maxFilesPerTrigger", files_per_batch)
          .parquet(folder).groupBy("digest")
@@ -56,10 +62,8 @@ def keep_state(digests: DataFrame, files_per_batch: int) -> DataFrame:
             .select("digest", F.col("first.doc_id").alias("keep_id"),
                     F.col("first.place").alias("place"), "group_size"), "dedup-keys")
     finally:
-        if before is None:
-            spark.conf.unset(STORE)
-        else:
-            spark.conf.set(STORE, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 #: Stands for a missing id while the smallest is sought, so that it comes last.
@@ -89,8 +93,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Full bytes of the rows in groups. The text that stays is laid out once for every
     # PER_SALT rows of its group, so many tasks compare a hot group.
     ids = joined.where("group_size > 1").select("at", "digest", "keep_id", "group_size").distinct()
-    full = base.select("at", "text", digest(F.col("text")).alias("digest")) \
-        .join(ids.hint("shuffle_hash"), ["at", "digest"])
+    full = stored(base.select("at", "text", digest(F.col("text")).alias("digest"))
+                  .join(ids.hint("shuffle_hash"), ["at", "digest"]), "dedup-hits")
     salts = F.ceil(F.col("group_size") / PER_SALT).cast("int")
     stays = full.where("at = keep_id").groupBy("digest", "group_size") \
         .agg(F.min("text").alias("stays")) \
