@@ -279,7 +279,7 @@ def seeds_in_order(text: np.ndarray, small: np.ndarray, folder: str, limit: int,
     reduced = space(folder, len(lms), np.int64, limit)
     reduced[np.searchsorted(lms, order)] = names
     deep = depth // 2 + 2  # two stretches begin two characters apart at least
-    if reduced.nbytes * 4 <= limit:
+    if reduced.nbytes <= limit:
         return lms[doubled(np.asarray(reduced), deep)]
     inner = [x["pos"] for x in suffixes(reduced, folder, limit, deep, False)]
     return lms[np.concatenate(inner[::-1])]

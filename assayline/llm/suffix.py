@@ -31,12 +31,12 @@ from assayline.llm.induced import suffixes
 WINDOW, GRAM = 50, 19
 #: Text of a block of documents, and memory a shard's sort may take before it uses the disk.
 BLOCK_BYTES = 3 << 20
-SORT_BYTES = 256 << 20
+SORT_BYTES = 64 << 20
 NO_ID = (1 << 63) - 1
 
 
 def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(3).compress(data)
+    return zstandard.ZstdCompressor(6).compress(data)
 
 
 def expand(data: bytes) -> bytes:
@@ -96,14 +96,26 @@ class Block:
         self.key = mix(least[self.start])
         self.doc = np.searchsorted(self.at, self.start, "right") - 1
 
-    def repeated(self, keys: np.ndarray, shards: int) -> list[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
-        """Runs with one of `keys` by shard: distinct strings in order of appearance, the smallest
-        id of each, and the runs (numbers) with the string of each."""
+    def by_shard(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys in order, whether two documents of the block have each, and where the keys
+        of every shard begin."""
+        order = np.lexsort((self.doc, self.key))
+        key, doc = self.key[order], self.doc[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+        last = np.append(first[1:], len(key)) - 1 if len(key) else order
+        key, several = key[first], doc[first] != doc[last]
+        return key, several, np.searchsorted(shard_of(key, shards), np.arange(shards + 1))
+
+    def repeated(self, bits: list, shards: int) -> list[tuple[int, list[bytes], np.ndarray, np.ndarray]]:
+        """Runs whose key is marked by shard in `bits`: for each shard the distinct strings in order
+        of appearance, the smallest id of each, and the runs (numbers) with the string of each."""
         self.runs()
-        keys = np.sort(keys)
-        at = np.searchsorted(keys, self.key)
-        at[at == len(keys)] = 0
-        hit = np.flatnonzero(keys[at] == self.key) if len(keys) else np.empty(0, np.int64)
+        key, _, cut = self.by_shard(shards)
+        marked = np.zeros(len(key), bool)
+        for r in bits:
+            a, b = cut[r["shard"]], cut[r["shard"] + 1]
+            marked[a:b] = np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=b - a)
+        hit = np.flatnonzero(marked[np.searchsorted(key, self.key)])
         shard = shard_of(self.key[hit], shards)
         order = np.argsort(shard, kind="stable")
         hit, shard = hit[order], shard[order]
@@ -132,45 +144,47 @@ def block_rows(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]
 
 
 def emit_keys(shards: int):
-    """Distinct keys of a block by shard; a key of two documents of the block twice."""
+    """Distinct keys of a block by shard: six bytes of each (a shard already fixes the others'
+    part), and a bit for those of two documents in the block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, block in block_rows(batches):
             block.runs()
-            order = np.lexsort((block.doc, block.key))
-            key, doc = block.key[order], block.doc[order]
-            new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])])[:len(key)]
-            key = key[new]
-            nth = np.arange(len(key)) - np.searchsorted(key, key)
-            key = key[nth < 2]
-            shard = shard_of(key, shards)
-            cut = np.searchsorted(shard, np.arange(shards + 1))
+            key, several, cut = block.by_shard(shards)
+            low = key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
             some = np.flatnonzero(np.diff(cut))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), name)),
-                 pa.array([key[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())], ["shard", "block", "data"])
+                 pa.array([low[cut[k]:cut[k + 1]].tobytes() + np.packbits(several[cut[k]:cut[k + 1]]).tobytes()
+                           for k in some], pa.binary())], ["shard", "block", "data"])
     return run
 
 
 def find_repeated(group: pd.DataFrame) -> pd.DataFrame:
-    """Keys of a shard that two documents have, for each block that has them."""
-    own = [np.frombuffer(x, np.uint64) for x in group["data"]]
+    """For each block, which of its keys in a shard two documents have: a bit per key."""
+    own, several = [], []
+    for x in group["data"]:
+        n = len(x) * 8 // 49
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(x, np.uint8, 6 * n).reshape(n, 6)
+        own.append(wide.view("<u8").ravel())
+        several.append(np.unpackbits(np.frombuffer(x, np.uint8, offset=6 * n), count=n).astype(bool))
     every = np.sort(np.concatenate(own))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    twice = np.union1d(every[1:][every[1:] == every[:-1]], np.concatenate(own)[np.concatenate(several)])
     out = []
-    for block, keys in zip(group["block"], own):
+    for shard, block, keys in zip(group["shard"], group["block"], own):
         at = np.searchsorted(twice, keys)
         at[at == len(twice)] = 0
-        hit = keys[twice[at] == keys] if len(twice) else keys[:0]
-        if len(hit):
-            out.append((block, np.unique(hit).tobytes()))
-    return pd.DataFrame(out, columns=["block", "keys"])
+        hit = twice[at] == keys if len(twice) else np.zeros(len(keys), bool)
+        if hit.any():
+            out.append((shard, block, np.packbits(hit).tobytes()))
+    return pd.DataFrame(out, columns=["shard", "block", "bits"])
 
 
 def emit_strings(shards: int):
     """Strings around repeated keys, by shard, each with the smallest id in the block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, block, keys in block_rows(batches, "keys"):
-            for shard, strings, least, _ in block.repeated(np.frombuffer(b"".join(keys), np.uint64), shards):
+            for shard, strings, least, _ in block.repeated(keys, shards):
                 sizes = np.fromiter(map(len, strings), np.int64, len(strings))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([shard], pa.int32()), pa.array([name]), *[pa.array([x], pa.binary()) for x in (
@@ -204,6 +218,30 @@ def owners(text: np.ndarray, ends: np.ndarray, ids: np.ndarray, window: int, lim
     return owner
 
 
+def may_share(strings: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Strings with a window whose hash another window has as well."""
+    hashes, owner = [], []
+    at = 0
+    while at < len(strings):
+        stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), 2 << 20, "right")) + at)
+        count = sizes[at:stop] - WINDOW + 1
+        begin = np.cumsum(sizes[at:stop]) - sizes[at:stop]
+        pos = np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        data = np.frombuffer(b"".join(strings[at:stop]), np.uint8)
+        hashes.append(stretch(prefix_sums(data), pos, pos + WINDOW))
+        owner.append(np.repeat(np.arange(at, stop), count).astype(np.int32))
+        at = stop
+    hashes, owner = np.concatenate(hashes), np.concatenate(owner)
+    every = np.sort(hashes)
+    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    out = np.zeros(len(strings), bool)
+    if len(twice):
+        k = np.searchsorted(twice, hashes)
+        k[k == len(twice)] = 0
+        out[owner[twice[k] == hashes]] = True
+    return out
+
+
 def sort_shard(limit: int):
     """Owners of all windows of a shard, for each block as runs of equal owners."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -221,25 +259,36 @@ def sort_shard(limit: int):
                 elif i < least[k]:
                     least[k] = i
             uses.append(which)
-        # Bytes become 2 to 257, 1 ends a string and 0 the text.
-        sizes = np.fromiter(map(len, known), np.int64, len(known))
-        ends = np.cumsum(sizes + 1) - 1
-        text = np.frombuffer(b"\0".join(known) + b"\0\0", np.uint8).astype(np.int16) + np.int16(2)
-        text[ends] = 1
-        text[-1] = 0
-        owner = owners(text, ends, np.array(least, np.int64), WINDOW, limit)
-        begins = ends - sizes
+        strings, least = list(known), np.array(least, np.int64)
+        sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        # A string all of whose windows are its own has one owner; the others are sorted.
+        shares = may_share(strings, sizes)
+        lengths, values = sizes - WINDOW + 1, least.copy()
+        first = np.arange(len(strings))
+        runs = np.ones(len(strings), np.int64)
+        if shares.any():
+            # Bytes become 2 to 257, 1 ends a string and 0 the text.
+            part = [strings[i] for i in np.flatnonzero(shares)]
+            ends = np.cumsum(sizes[shares] + 1) - 1
+            text = np.frombuffer(b"\0".join(part) + b"\0\0", np.uint8).astype(np.int16) + np.int16(2)
+            text[ends] = 1
+            text[-1] = 0
+            owner = owners(text, ends, least[shares], WINDOW, limit)
+            count = lengths[shares]
+            inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            flat = owner[np.repeat(ends - sizes[shares], count) + inner]
+            edge = np.flatnonzero((inner == 0) | np.concatenate([[True], flat[1:] != flat[:-1]]))
+            begin = np.searchsorted(edge, np.flatnonzero(inner == 0))
+            runs[shares] = np.diff(np.append(begin, len(edge)))
+            first[shares] = len(strings) + begin
+            lengths = np.concatenate([lengths, np.diff(np.append(edge, len(flat)))])
+            values = np.concatenate([values, flat[edge]])
         out = []
         for block, which in zip(group["block"], uses):
-            which = np.array(which)
-            count = sizes[which] - WINDOW + 1
-            shift = np.concatenate([[0], np.cumsum(count)])
-            flat = owner[np.repeat(begins[which] - shift[:-1], count) + np.arange(shift[-1])]
-            edge = np.concatenate([[True], flat[1:] != flat[:-1]])
-            first = np.flatnonzero(edge)
-            lengths = np.diff(np.append(first, len(flat)))
+            n = runs[which]
+            take = np.repeat(first[which], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             out.append((int(group["shard"].iloc[0]), block,
-                        squeeze(lengths.astype(np.int64).tobytes() + flat[first].tobytes())))
+                        squeeze(lengths[take].tobytes() + values[take].tobytes())))
         return pd.DataFrame(out, columns=["shard", "block", "owners"])
     return run
 
@@ -254,8 +303,7 @@ def cut_out(shards: int, with_text: bool):
             change = np.zeros(len(block.text) + 1, np.int32)
             if keys:
                 found = {r["shard"]: r["owners"] for r in replies}
-                for shard, strings, _, (runs, which) in block.repeated(
-                        np.frombuffer(b"".join(keys), np.uint64), shards):
+                for shard, strings, _, (runs, which) in block.repeated(keys, shards):
                     data = np.frombuffer(expand(found[shard]), np.int64)
                     lengths, values = data[:len(data) // 2], data[len(data) // 2:]
                     owner = np.repeat(values, lengths)
@@ -299,11 +347,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     blocks = stored(docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"),
                                 F.col(text_col).alias("text")).mapInArrow(to_blocks, BLOCKS), "suffix-blocks")
     keys = stored(blocks.mapInArrow(emit_keys(shards), "shard int, block long, data binary")
-                  .groupBy("shard").applyInPandas(find_repeated, "block long, keys binary")
-                  .groupBy("block").agg(F.collect_list("keys").alias("keys")), "suffix-keys")
-    replies = stored(blocks.join(keys, "block")
+                  .groupBy("shard").applyInPandas(find_repeated, "shard int, block long, bits binary")
+                  .groupBy("block").agg(F.collect_list(F.struct("shard", "bits")).alias("keys")), "suffix-keys")
+    replies = (blocks.join(keys, "block")
                      .mapInArrow(emit_strings(shards), "shard int, block long, sizes binary, ids binary, data binary")
                      .groupBy("shard").applyInPandas(sort_shard(sort_bytes), "shard int, block long, owners binary")
-                     .groupBy("block").agg(F.collect_list(F.struct("shard", "owners")).alias("replies")), "suffix-owners")
+                     .groupBy("block").agg(F.collect_list(F.struct("shard", "owners")).alias("replies")))
     return blocks.join(keys, "block", "left").join(replies, "block", "left") \
         .mapInArrow(cut_out(shards, with_text), KEPT)
