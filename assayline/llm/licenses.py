@@ -29,6 +29,7 @@ NOTICES = (
     ("the mit license mit", "mit", 1),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", 6),
     ("apache license version 2", "apache-2", 2),
+    ("cc by nc", "cc-by-nc", 0),
     ("licensed under the apache license", "apache-2", 3),
     ("http www apache org licenses license 2 0", "apache-2", 3),
     ("creative commons attribution noncommercial", "cc-by-nc", 4),

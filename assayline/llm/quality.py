@@ -1,7 +1,7 @@
 """Quality classifier: linear support vectors over n-gram indicators scaled by naive Bayes.
 
-Features are the distinct words and word pairs of a whole text, hashed to a fixed number of
-slots. Over all labelled training rows each class counts the documents that hold a slot;
+Features are the distinct words, word pairs and repetitions of one word in a whole text, hashed
+to a fixed number of slots. Over all labelled training rows each class counts the documents that hold a slot;
 the log ratio of the two smoothed shares scales the slot's indicator. A linear model with
 hinge loss is fitted to the scaled indicators by dual coordinate descent, on a sample of
 labelled rows whose size is bounded by FIT_ROWS; then its weights are interpolated with their
@@ -30,6 +30,8 @@ BETA = 0.5
 PASSES = 20
 DECIDE = 0.3
 SLICE = 4096
+#: Lengths n of a word repeated n times that have a slot of their own.
+REPEATS = (2, 3, 4, 6, 8, 12)
 #: Parts into which partial counts are dealt before the last sum.
 LANES = 64
 
@@ -44,9 +46,14 @@ def slots(data: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.n
     words, doc = word_hashes(data, at)
     pair = mix(words[:-1] * np.uint64(3) + words[1:]) if len(words) > 1 else words[:0]
     same = doc[:-1] == doc[1:]
+    # One word n times over is an n-gram of its own, whatever the word.
+    run = np.concatenate([[False], (words[:-1] == words[1:]) & same, [False]]) if len(words) else np.zeros(2, bool)
+    begin, end = np.flatnonzero(run[1:] & ~run[:-1]), np.flatnonzero(run[:-1] & ~run[1:])
+    again = [(doc[begin[end - begin + 1 >= n]].astype(np.uint64) << np.uint64(bits))
+             | (mix(np.array([n], np.uint64)) >> np.uint64(64 - bits)) for n in REPEATS]
     shift = np.uint64(64 - bits)
     keys = np.concatenate([(doc.astype(np.uint64) << np.uint64(bits)) | (words >> shift),
-                           (doc[:-1][same].astype(np.uint64) << np.uint64(bits)) | (pair[same] >> shift)])
+                           (doc[:-1][same].astype(np.uint64) << np.uint64(bits)) | (pair[same] >> shift), *again])
     keys = np.unique(keys)
     starts = np.searchsorted(keys, np.arange(len(at), dtype=np.uint64) << np.uint64(bits))
     return (keys & np.uint64((1 << bits) - 1)).astype(np.int32), starts
