@@ -31,7 +31,7 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
         else df.sparkSession.read.parquet(path)
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch with about `limit` bytes of `column`, one row at least."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0)
                      .to_numpy(zero_copy_only=False).astype(np.int64))

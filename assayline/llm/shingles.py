@@ -129,7 +129,7 @@ def sign(width: int, percent: int, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schemes = Schemes(percent)
         for batch in batches:
-            for piece in pieces(batch, "text", 16 << 20):
+            for piece in pieces(batch, "text", 3 << 20):
                 sets = {digest(s): s for s in sets_of(piece.column("text"), width) if len(s)}
                 if not sets:
                     continue
