@@ -408,7 +408,9 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         right = labelled.where("apart").withColumn("turn", F.pmod(F.xxhash64("rep", F.lit(1)), turns).cast("int")) \
             .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(columns)
         more = left.unionByName(right).groupBy("cluster", "block", "turn").applyInPandas(across(percent), EDGES)
-        groups = components(edges.unionByName(more))
+        more = stored(more, "jaccard-more")
+        if not more.isEmpty():
+            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     reached = classes.join(groups.withColumnRenamed("node", "rep"), "rep") \
         .where("component != rep").select("hi", "lo", "n_shingles", "component")
     ids = classes.select("hi", "lo", "n_shingles", "rep")
