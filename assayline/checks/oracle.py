@@ -28,7 +28,9 @@ def _put(name: str, sql: str, *needs: str) -> None:
     order: list[str] = []
     for n in needs:
         _needed(n, order)
-    steps = ",\n".join(f"{n} AS ({_STEPS[n][0]})" for n in order)
+    # Steps that several parts read are computed once.
+    steps = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in ('silver_claims', 'limits') else ''}({_STEPS[n][0]})"
+                       for n in order)
     ORACLE[name] = (f"WITH {steps}\n" if steps else "") + sql.strip()
 
 

@@ -64,12 +64,17 @@ def split_latest(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     return kept, replaced
 
 
-def keep_latest(df: DataFrame, key: str, order: Sequence[Column] | None = None) -> DataFrame:
+def keep_latest(df: DataFrame, key: str, order: Sequence[Column] | None = None,
+                keep_null_keys: bool = False) -> DataFrame:
     """Survivors only. The rank limit prunes each task to one row per key before the
-    shuffle, so a hot key sends one row per task."""
-    w = Window.partitionBy(key).orderBy(*(order or newest_first(df, key)))
-    return (df.filter(F.col(key).isNotNull())
-            .withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank"))
+    shuffle, so a hot key sends one row per task. Rows without a key are left out, unless
+    `keep_null_keys`: then all of them stay, as none is a duplicate of another, and each is
+    a group of its own, which also spreads them over the tasks."""
+    if not keep_null_keys:
+        df = df.filter(F.col(key).isNotNull())
+    w = Window.partitionBy(key, "_alone").orderBy(*(order or newest_first(df, key)))
+    return (df.withColumn("_alone", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+            .withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank", "_alone"))
 
 
 def keep_any(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +68,9 @@ def _candidates(rows, qtype, documents: DataFrame, doc_id: str, doc_vector: str,
     matrix = _unit(np.array([r["x"] for r in rows], dtype=np.float64))
     docs = documents.select(F.col(doc_id).alias("d"),
                             F.col(doc_vector).cast("array<double>").alias("x"))
-    docs = docs.filter(F.col("x").isNotNull())
+    # A vector with a missing or non-finite element has no cosine: it is no candidate.
+    docs = docs.filter(F.col("x").isNotNull() & F.forall("x", lambda e: e.isNotNull()
+                       & ~F.isnan(e) & (F.abs(e) != float("inf"))))
     schema = T.StructType([T.StructField("q", qtype), docs.schema["d"],
                            T.StructField("confidence", T.DoubleType())])
 
@@ -75,6 +78,8 @@ def _candidates(rows, qtype, documents: DataFrame, doc_id: str, doc_vector: str,
         for b in batches:
             if b.num_rows == 0:
                 continue
+            if set(pc.list_value_length(b.column(1)).unique().to_pylist()) != {matrix.shape[1]}:
+                raise ValueError(f"{doc_vector}: vectors of other lengths than {matrix.shape[1]}")
             flat = b.column(1).flatten().to_numpy(zero_copy_only=False)
             scores = np.round(_unit(flat.reshape(b.num_rows, -1)) @ matrix.T, RANK_DECIMALS)
             doc = b.column(0)

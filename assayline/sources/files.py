@@ -56,7 +56,7 @@ def _reader(spark: SparkSession, source: Source, listed: bool):
 
 
 def header_lines(spark: SparkSession, source: Source, paths: str | Sequence[str]) -> DataFrame:
-    """First line of each file, read by the tasks.
+    """First line of each file that is not blank, read by the tasks.
 
     One task reads the start of a file, so `first` sees its lines in file order.
     The pass goes over the text once more; a loader that takes only new files
@@ -67,7 +67,7 @@ def header_lines(spark: SparkSession, source: Source, paths: str | Sequence[str]
     return (
         text.select("value", F.col("_metadata.file_path").alias("path"),
                     F.col("_metadata.file_block_start").alias("start"))
-        .filter("start = 0").groupBy("path").agg(F.first("value").alias("header")))
+        .filter("start = 0 and trim(value) != ''").groupBy("path").agg(F.first("value").alias("header")))
 
 
 def read_csv(spark: SparkSession, source: Source, paths: str | Sequence[str],

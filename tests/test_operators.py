@@ -196,3 +196,23 @@ def test_missing_table_is_reported(spark):
     spark.createDataFrame([(1,), (2,)], "x int").createOrReplaceTempView("here")
     got = report.table_counts(spark, ["here", "not_here"]).collect()
     assert [tuple(r) for r in got] == [("here", True, 2), ("not_here", False, None)]
+
+
+def test_keep_latest_keeps_rows_without_a_key(spark):
+    from datetime import datetime as dt
+    rows = [(None, 1, "a", "f", dt(2024, 1, 1)), (None, 2, "b", "f", dt(2024, 1, 2)),
+            (7, 3, "c", "f", dt(2024, 1, 1)), (7, 4, "d", "f", dt(2024, 1, 2))]
+    got = latest.keep_latest(spark.createDataFrame(rows, SCHEMA), "k", keep_null_keys=True)
+    assert sorted(r.v for r in got.collect()) == [1, 2, 4] and got.columns == SCHEMA_NAMES
+
+
+SCHEMA_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
+
+
+def test_damaged_vectors_displace_no_documents(spark):
+    nan = float("nan")
+    docs = [(k, [1.0, float(k)]) for k in range(4)] + [(10, [nan, 1.0]), (11, [1.0, None]), (12, [float("inf"), 1.0])]
+    d = spark.createDataFrame(docs, "doc_id int, v array<double>").coalesce(1)
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, v array<double>")
+    got = cosine_top_k(q, d, 4, query_id="query_id", query_vector="v", doc_id="doc_id", doc_vector="v").collect()
+    assert sorted(r.doc_id for r in got) == [0, 1, 2, 3]
