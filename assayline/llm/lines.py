@@ -1,9 +1,11 @@
 """Lines that many sites share, found by the spread of each line over distinct sites.
 
 A line counts by its normal form: leading and trailing white space off, inner runs as one
-blank. Sites per line are counted in a sketch (HyperLogLog) per line hash; sketches of parts
-merge by aggregation. Where the estimate is so near the threshold that the sketch may be
-wrong, the sites are counted exactly. Only built-in functions are used.
+blank. Lines are hashed once. A line that does not occur more often than the threshold cannot be on
+more sites, so a plain count leaves the others. Their sites are counted in a sketch
+(HyperLogLog) per line hash; sketches of parts merge by aggregation. Where the estimate is so
+near the threshold that the sketch may be wrong, the sites are counted exactly. Only built-in
+functions are used.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import SPACE, stored
+from assayline.llm.common import stored
 
 #: Fixed production parameters: sites a line may be on at most, and log2 of sketch registers.
 MAX_SITES = 10
@@ -21,20 +23,25 @@ LG_K = 10
 #: Fixed: tags after which a line ends in HTML.
 BLOCK_END = r"(?i)</(?:p|div|li|ul|nav|article|header|footer|h[1-6]|tr|table|title|head|script|style|body|html)>|<br ?/?>"
 
+#: Runs of white space within a line that are not one blank already.
+RUN = r"\x20[\x20\x09\x0B-\x0D]+|[\x09\x0B-\x0D][\x20\x09\x0B-\x0D]*"
+
 
 def host(url: Column) -> Column:
     """Site of an address: the lower-cased part after `//`, without user and port."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[^/?#]*//([^/?#@]*@)?([^/?#:]*)", 2))
 
 
-def lines_of(text: Column) -> Column:
-    """Lines of a text; tags that end a block end a line too, so that HTML without line
-    ends has lines."""
-    return F.split(F.regexp_replace(F.coalesce(text, F.lit("")), BLOCK_END, "$0\n"), "\n", -1)
+def with_ends(text: Column) -> Column:
+    """The text with line ends; tags that end a block end a line too, so that HTML without
+    line ends has lines."""
+    return F.regexp_replace(F.coalesce(text, F.lit("")), BLOCK_END, "$0\n")
 
 
-def plain(line: Column) -> Column:
-    return F.trim(F.regexp_replace(line, SPACE, " "))
+def hashes_of(text: Column) -> Column:
+    """Hash of the normal form of each line of a text with line ends; null for blank lines."""
+    lines = F.split(F.regexp_replace(text, RUN, " "), "\n", -1)
+    return F.transform(lines, lambda x: F.unhex(F.md5(F.nullif(F.trim(x), F.lit("")))))
 
 
 def spread_lines(lines: DataFrame, max_sites: int = MAX_SITES, lg_k: int = LG_K,
@@ -70,13 +77,15 @@ def without_spread_lines(pages: DataFrame, id_col: str = "page_id", text_col: st
     """
     site = host(F.col("url")) if site is None else F.coalesce(site, F.lit(""))
     base = stored(pages.select(F.col(id_col).alias("page_id"), site.alias("site"),
-                               lines_of(F.col(text_col)).alias("lines"),
-                               F.monotonically_increasing_id().alias("row")), "line-pages")
-    flat = base.select("row", "site", F.posexplode("lines").alias("pos", "text")) \
-        .select("row", "site", "pos", plain(F.col("text")).alias("text")).where("text != ''") \
-        .select("row", "site", "pos", F.unhex(F.md5("text")).alias("line"))
-    spread = stored(spread_lines(flat.select("line", "site"), max_sites, lg_k), "line-boilerplate")
-    removed = flat.join(spread.select("line"), "line").groupBy("row") \
+                               with_ends(F.col(text_col)).alias("text"))
+                  .select("page_id", "site", F.split("text", "\n", -1).alias("lines"),
+                          hashes_of(F.col("text")).alias("hashes"),
+                          F.monotonically_increasing_id().alias("row")), "line-pages")
+    flat = base.select("row", "site", F.posexplode("hashes").alias("pos", "line")).where("line is not null")
+    often = stored(flat.groupBy("line").count().where(F.col("count") > max_sites).select("line"), "line-often")
+    seen = stored(flat.join(often, "line"), "line-seen")
+    spread = stored(spread_lines(seen.select("line", "site"), max_sites, lg_k), "line-boilerplate")
+    removed = seen.join(spread.select("line"), "line").groupBy("row") \
         .agg(F.sort_array(F.collect_list("pos")).alias("removed"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1),
                           F.coalesce("removed", F.array().cast("array<int>")))
