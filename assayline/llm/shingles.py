@@ -231,46 +231,66 @@ def merge_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int]]:
                 heapq.heappush(heap, (lists[k][at], k, at))
 
 
-def divide_skip(lists: list[list[int]], least: int) -> Iterator[tuple[int, int, list[list[int]]]]:
+def divide_skip(lists: list, least: int) -> Iterator[tuple[int, int, list]]:
     """Candidates (id, count in short lists, long lists still to be probed)."""
-    lists = sorted((x for x in lists if x), key=len)
+    lists = sorted((x for x in lists if len(x)), key=len)
     if len(lists) < least:
         return
     most = len(lists[-1])
     long = min(least - 1, int(least / (0.0085 * math.log2(most + 1) + 1)))
-    short, long_lists = lists[:len(lists) - long], lists[len(lists) - long:]
+    short, long_lists = [np.asarray(x).tolist() for x in lists[:len(lists) - long]], lists[len(lists) - long:]
     for i, n in merge_skip(short, least - long):
         yield i, n, long_lists
 
 
-def search(sets: list[np.ndarray], links: Links, queries: list[int], percent: int) -> None:
-    """Joins every query with all sets that link with it and are not yet connected to it."""
-    if not queries:
+def probe(ids: np.ndarray, count: np.ndarray, need: np.ndarray, long_lists: list[np.ndarray]) -> np.ndarray:
+    """The ids whose count reaches what they need when the long lists are searched for them;
+    an id is dropped once the lists left cannot bring it there."""
+    for rest, own in zip(range(len(long_lists) - 1, -1, -1), long_lists):
+        count = count + (own[np.minimum(np.searchsorted(own, ids), len(own) - 1)] == ids)
+        hope = count + rest >= need
+        if not hope.all():
+            ids, count, need = ids[hope], count[hope], need[hope]
+        if not len(ids):
+            break
+    return ids[count >= need]
+
+
+def search(sets: list[np.ndarray], links: Links, queries: list[int], percent: int, main: int | None = None) -> None:
+    """Joins every query with all sets that link with it and are not yet connected to it.
+
+    Sets connected to `main` need no search: a link that leaves their group has another end. So
+    the sets with the most common elements, which may connect many, are searched first.
+    """
+    if not len(queries):
         return
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
     every = np.concatenate(sets)
     order = np.argsort(every, kind="stable")
     every, owner = every[order], owner[order]
     first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
     key, end = every[first], np.append(first[1:], len(every))
-    for q in queries:
+    spread = np.bincount(owner, np.repeat(end - first, end - first), len(sets)) / np.maximum(1, sizes)
+    root = np.array([links.find(i) for i in range(len(sets))])
+    done = np.zeros(len(sets), bool)  # all their links are known
+    for q in sorted(queries, key=lambda i: -spread[i]):
+        if main is not None and root[q] == root[main]:
+            continue
         n = len(sets[q])
-        small, large = -(-percent * n // 100), 100 * n // percent
+        free = ~done & (root != root[q]) & (100 * sizes >= percent * n) & (percent * sizes <= 100 * n)
+        done[q] = True
+        if not free.any():
+            continue
         at = np.searchsorted(key, sets[q])
-        lists = [owner[first[k]:end[k]].tolist() for k in at if end[k] - first[k] > 1]
-        for i, count, long_lists in divide_skip(lists, needed(n, small, percent)):
-            m = len(sets[i])
-            if i == q or not small <= m <= large or links.find(i) == links.find(q):
-                continue
-            need, rest = needed(n, m, percent), len(long_lists)
-            for ids in long_lists:
-                if count + rest < need:
-                    break
-                k = bisect_left(ids, i)
-                count += k < len(ids) and ids[k] == i
-                rest -= 1
-            if count >= need:
-                links.join(q, i)
+        lists = [own[free[own]] for own in (owner[first[k]:end[k]] for k in at if end[k] - first[k] > 1)]
+        found = list(divide_skip(lists, needed(n, int(sizes[free].min()), percent)))
+        if not found:
+            continue
+        ids, count = np.array([(i, c) for i, c, _ in found]).T
+        for i in probe(ids, count, needed(n, sizes[ids], percent), found[0][2]):
+            links.join(q, int(i))
+            root[root == root[i]] = root[q]
 
 
 def connect(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -292,7 +312,7 @@ def connect(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     for r in roots:
         count[r] = count.get(r, 0) + 1
     largest = max(count, key=count.get)
-    search(sets, links, [i for i, r in enumerate(roots) if r != largest], percent)
+    search(sets, links, [i for i, r in enumerate(roots) if r != largest], percent, largest)
     return links.edges
 
 
