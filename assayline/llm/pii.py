@@ -236,8 +236,8 @@ TRANSDUCERS = (characters, spelled_digits, signs)
 
 
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Spans of the source text as it is, and all spans: those and the disguised ones that
-    overlap none of the same kind. Sorted by kind, as listed, and start."""
+    """Spans of the source text as it is, and all spans: those and the disguised ones that lie
+    in none of the same kind. Sorted by kind, as listed, start and end."""
     base = [(kind, s, e) for kind, detect in DETECTORS for s, e in detect(text)]
     r = Rewritten(text)
     for step in TRANSDUCERS:
@@ -250,9 +250,9 @@ def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
         starts = [s for s, _ in taken]
         for s, e in (r.source(*x) for x in detect(r.text)):
             k = bisect_right(starts, s) - 1
-            if (k < 0 or taken[k][1] <= s) and (k + 1 >= len(taken) or taken[k + 1][0] >= e):
+            if k < 0 or taken[k][1] < e:  # the plain part of an identifier does not hide the whole
                 every.append((kind, s, e))
-    every.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
+    every.sort(key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
     return base, every
 
 
@@ -273,7 +273,8 @@ def detect_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per input row: doc_id, base and spans (lists of kind, start, stop in code points).
 
-    `base` are the plain matches, `spans` those and the disguised ones. A null text is empty
+    `base` are the plain matches, `spans` those and the disguised ones, which may contain or
+    overlap a plain one that is a part of them. A null text is empty
     and has none; ids may be null or repeat; other columns are not read; an empty table gives
     no rows. A text is always read whole; work is linear in its length.
     """

@@ -127,6 +127,29 @@ def test_disguises(text, kind, span):
     assert (kind, start, start + len(span)) in pii.find(text)[1]
 
 
+@pytest.mark.parametrize("kind, span, part", [
+    ("email", "jоhn@example.com", "hn@example.com"),
+    ("email", "jo\u200bhn@example.com", "hn@example.com"),
+    ("email", "john@mail.example dot com", "john@mail.example"),
+    ("email", "john@mail.example.cоm", "john@mail.example.c"),
+    ("email", "john@mail.exa\u200bmple.com", None),
+    ("phone", "+1 555 010 99９９", "+1 555 010 99"),
+    ("phone", "+1 555 010 999\u00ad9", "+1 555 010 999"),
+    ("ip", "192.168.1.2０", "192.168.1.2"),
+    ("ip", "１92.168.1.20", "92.168.1.20"),
+])
+def test_part_found_plain_does_not_hide_the_whole(kind, span, part):
+    text = f"mail x@y.org, {span}; 10.0.0.1, +44 555 010 8888"
+    base, every = pii.find(text)
+    start = text.index(span)
+    assert base == base_spans(text) and set(base) <= set(every)
+    assert (kind, start, start + len(span)) in every
+    if part:
+        at = text.index(part)
+        assert (kind, at, at + len(part)) in base
+    assert len(every) == len(set(every)) == len(base) + 1
+
+
 def test_plain_words_are_left_alone():
     for text in ("look at example.com or at the dot", "one two three", "We met at noon dot", "сом и кот"):
         assert pii.find(text) == ([], [])
