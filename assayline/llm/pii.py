@@ -116,14 +116,21 @@ def plain_char(c: str) -> str:
 
 _plain: dict[str, str] = {}
 _word = "|".join(sorted(DIGIT_WORDS, key=len, reverse=True))
-#: Three or more digits in a row of which one at least is a word, with blanks, commas or hyphens
-#: between; "plus" before them.
-SPELLED = re.compile(rf"(?<!\w)(?:plus[\s-]+)?(?:(?:{_word}|[0-9]+)[\s,-]{{1,3}}){{2,}}(?:{_word}|[0-9]+)(?!\w)", re.I)
-SPELLED_HINT = re.compile(rf"(?<!\w)(?:{_word})[\s,-]{{1,3}}(?:{_word}|[0-9]+)(?!\w)", re.I)
-TOKEN = re.compile(rf"plus|{_word}", re.I)
+#: "dot" in brackets; a dot inside a run of spelled digits may also be the word or a point with
+#: the same on both sides: blanks, commas, hyphens or, for a point, nothing.
+BRACKETED_DOT = r"\s{0,3}[(\[{<]\s{0,3}(?:dot|\.|point|punkt|punto)\s{0,3}[)\]}>]\s{0,3}"
+_dot = rf"(?:[\s,-]{{1,3}}(?:dot|point|punkt|punto|\.)[\s,-]{{1,3}}|{BRACKETED_DOT}|\.)"
+_item = rf"(?:{_word}|[0-9]+)"
+_between = rf"(?:[\s,-]{{1,3}}|{_dot})"
+#: Three or more digits in a row of which one at least is a word, with blanks, commas, hyphens or
+#: dots between; "plus" before them.
+SPELLED = re.compile(rf"(?<!\w)(?:plus[\s-]+)?(?:{_item}{_between}){{2,}}{_item}(?!\w)", re.I)
+SPELLED_HINT = re.compile(rf"(?<!\w)(?:{_word}){_between}{_item}(?!\w)|[0-9]{_dot}(?:{_word})(?!\w)", re.I)
+#: What a run of spelled digits consists of, but for blanks, commas and hyphens.
+TOKEN = re.compile(rf"(?<!\w)(?:(?P<plus>plus)|(?P<word>{_word})|[0-9]+)(?!\w)|(?P<dot>{_dot})", re.I)
 #: "at" and "dot" in brackets, or bare between words when both stand there.
 AT = re.compile(r"\s{0,3}[(\[{<]\s{0,3}(?:at|@|arobase|arroba)\s{0,3}[)\]}>]\s{0,3}", re.I)
-DOT = re.compile(r"\s{0,3}[(\[{<]\s{0,3}(?:dot|\.|point|punkt|punto)\s{0,3}[)\]}>]\s{0,3}", re.I)
+DOT = re.compile(BRACKETED_DOT, re.I)
 NEAR = r"[A-Za-z0-9-]{1,63}"
 BARE = re.compile(rf"(?<=[A-Za-z0-9])(?:\s{{1,3}}at\s{{1,3}}|@)(?={NEAR}(?:\.{NEAR}){{0,3}}\s{{1,3}}dot\s{{1,3}}[A-Za-z0-9])", re.I)
 BARE_DOT = re.compile(r"(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z0-9])", re.I)
@@ -199,15 +206,17 @@ def spelled_digits(r: Rewritten) -> None:
         return
     edits: list[tuple[int, int, str]] = []
     for m in SPELLED.finditer(r.text):
-        words = list(TOKEN.finditer(r.text, *m.span()))
-        for k, w in enumerate(words):
-            new = "+" if w[0].lower() == "plus" else DIGIT_WORDS[w[0].lower()]
-            end = w.end()
-            if new == "+":  # nothing stands between a plus and its digits
-                end = next((i for i in range(end, m.end()) if r.text[i].isalnum()), end)
-            elif k + 1 < len(words) and r.text[end:words[k + 1].start()].strip(" ,-\t\n") == "":
-                end = words[k + 1].start()
-            edits.append((w.start(), end, new))
+        tokens = list(TOKEN.finditer(r.text, *m.span()))
+        if not any(t["word"] for t in tokens):
+            continue
+        for t, after in zip(tokens, [*tokens[1:], None]):
+            if t["dot"]:  # `signs` settles whether it is one
+                edits.append((*t.span(), t[0] if t[0] == "." else " dot "))
+            elif t["plus"]:  # nothing stands between a plus and its digits
+                edits.append((t.start(), after.start(), "+"))
+            elif t["word"]:
+                end = after.start() if after and after["word"] else t.end()
+                edits.append((t.start(), end, DIGIT_WORDS[t["word"].lower()]))
     r.replace(edits)
 
 

@@ -150,6 +150,46 @@ def test_part_found_plain_does_not_hide_the_whole(kind, span, part):
     assert len(every) == len(set(every)) == len(base) + 1
 
 
+NAMES = ("zero one two three four five six seven eight nine", "cero uno dos tres cuatro cinco seis siete ocho nueve",
+         "null eins zwei drei vier fünf sechs sieben acht neun")
+
+
+@pytest.mark.parametrize("dot", [" dot ", ".", " . ", " [dot] ", "(.)", "-dot-", ", dot, ", " point "])
+def test_spelled_addresses(dot):
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        names = NAMES[rng.integers(len(NAMES))].split()
+        numbers = [str(rng.integers(10 ** rng.integers(1, 4))) for _ in range(4)]
+        spelled = rng.random(4) < 0.7
+        spelled[rng.integers(4)] = True
+        words = [" -"[rng.integers(2)].join(names[int(d)] for d in n) if s else n for n, s in zip(numbers, spelled)]
+        span = dot.join(words)
+        text = f"the host {span} is up"
+        base, every = pii.find(text)
+        assert base == []
+        good = all(int(n) <= 255 for n in numbers)
+        assert [s for s in every if s[0] == "ip"] == [("ip", 9, 9 + len(span))] * good, text
+
+
+@pytest.mark.parametrize("text, kind, span", [
+    ("at one nine two dot one six eight dot one dot two zero.", "ip", "one nine two dot one six eight dot one dot two zero"),
+    ("at 192 dot 168 dot one dot one now", "ip", "192 dot 168 dot one dot one"),
+    ("at 192.168.1.one now", "ip", "192.168.1.one"),
+    ("call plus one dot five five five dot zero one zero dot nine nine nine nine", "phone",
+     "plus one dot five five five dot zero one zero dot nine nine nine nine"),
+    ("mail jane at one dot two dot three dot com", "email", "jane at one dot two dot three dot com"),
+    ("mail jane at one dot two dot three", "email", "jane at one dot two dot three"),
+])
+def test_dots_in_spelled_digits(text, kind, span):
+    start = text.index(span)
+    assert [s for s in pii.find(text)[1] if s[0] == kind] == [(kind, start, start + len(span))]
+
+
+def test_sentences_of_digits_are_no_address():
+    for text in ("One. Two. Three. Four.", "one, two, three, four", "zero point five five", "chapter one.two.three"):
+        assert pii.find(text) == ([], [])
+
+
 def test_plain_words_are_left_alone():
     for text in ("look at example.com or at the dot", "one two three", "We met at noon dot", "сом и кот"):
         assert pii.find(text) == ([], [])
