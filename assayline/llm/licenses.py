@@ -101,10 +101,13 @@ def scan(text: str) -> list[tuple[int, int, int, int]]:
     hits = []
     for k, known in windows.items():
         for low, high in known:
-            at = low
-            while m := patterns[k].search(text, at, high):
-                hits.append((k, m.start(), m.end(), sum(m.fuzzy_counts)))
-                at = max(m.end(), m.start() + 1)
+            found, left = [], [(low, high)]
+            while left:  # the best match comes first: others may stand before it and after it
+                at, end = left.pop()
+                if m := patterns[k].search(text, at, end):
+                    found.append((k, m.start(), m.end(), sum(m.fuzzy_counts)))
+                    left += [(at, m.start()), (max(m.end(), m.start() + 1), end)]
+            hits += sorted(found)
     return hits
 
 

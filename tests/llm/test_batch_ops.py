@@ -243,6 +243,25 @@ def test_notice_search_equals_full_matching():
         assert any(h[0] == k for h in licenses.scan(wide))
 
 
+def test_notices_next_to_each_other():
+    rng = np.random.default_rng(4)
+    for k in (0, 2, 9):
+        notice, _, most = licenses.NOTICES[k]
+        for _ in range(40):
+            errors = rng.integers(0, most + 1, 4)
+            copies = []
+            for e in errors:
+                chars = list(notice)
+                for at in rng.choice([i for i, c in enumerate(chars) if c != " "], e, replace=False):
+                    chars[at] = "z"
+                copies.append("".join(chars))
+            wide = " " + " ".join(copies) + " "
+            at = np.cumsum([1] + [len(notice) + 1] * 3)
+            assert [h for h in licenses.scan(wide) if h[0] == k] == [
+                (k, a, a + len(notice), e) for a, e in zip(at, errors)], wide
+    assert [h[1:] for h in licenses.scan(" undr the mit license under the mit license ") if h[0] == 0] == [(1, 21, 1), (22, 43, 0)]
+
+
 # --- mixing -----------------------------------------------------------------
 def test_mixture(spark):
     rng = np.random.default_rng(1)
