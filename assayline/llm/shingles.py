@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayline.llm.common import mix, pieces, stored, utf8, word_hashes
@@ -373,15 +373,42 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     without an id has no component. Rows that share an id but not a text keep their own sets,
     and may connect the groups of both. Other columns are not read; an empty table gives no rows.
     """
+    return grouped_rows(docs, width, percent, block, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def text_key(text_col: str = "text") -> Column:
+    """What tells rows with the same id apart."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns: of each group that links, the row
+    with the smallest id (of several with this id, the one with the smallest hash of its text).
+    Rows without an id or a shingle stay. Rows equal in id and text cannot be told apart and
+    stay or go together."""
+    gone = grouped_rows(docs, width, percent).where("doc_id != component_id or text_hash != component_hash") \
+        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(gone, (F.col("doc_id").cast("long") == F.col("_id")) & (text_key() == F.col("_hash")), "left_anti") \
+        .select(*docs.columns)
+
+
+def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As `similar_groups`, with text_hash, and component_hash: the smallest text_hash of the
+    rows of the group that have the smallest id.
+
+    Sets go by the number of their row in a stored table (`rep`), as several may have the same
+    smallest id.
+    """
     spark = docs.sparkSession
     shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
-                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
+                        text_key(text_col).alias("text_hash"))
     rows = stored(texts.mapInArrow(describe(width), DOCS), "jaccard-docs")
     known = rows.where("n_shingles > 0 and doc_id is not null")
     classes = stored(known.groupBy("hi", "lo", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-                     .select("hi", "lo", "n_shingles", F.col("first.doc_id").alias("rep"),
-                             F.col("first.text_hash").alias("rep_hash")), "jaccard-classes")
+                     .select("hi", "lo", "n_shingles", "first", F.monotonically_increasing_id().alias("rep")),
+                     "jaccard-classes")
     met = texts.where("doc_id is not null").select("text") \
         .mapInArrow(sign(width, percent, shards), "shard int, value binary, node binary, hi binary") \
         .groupBy("shard").applyInPandas(meet, EDGES)
@@ -391,8 +418,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     members = stored(members.join(sizes, "cluster"), "jaccard-members")
     # One document per set: its shingles. Rows equal in id and text give the set once.
     sets = stored(
-        texts.join(members.select("cluster", "size", "rep", F.col("rep_hash").alias("text_hash"), "hi", "lo")
-                   .withColumn("doc_id", F.col("rep")).hint("shuffle_hash"), ["doc_id", "text_hash"])
+        texts.join(members.select("cluster", "size", "rep", "first.doc_id", "first.text_hash", "hi", "lo")
+                   .hint("shuffle_hash"), ["doc_id", "text_hash"])
         .select("cluster", "size", "rep", "hi", "lo", "text")
         .mapInArrow(elements_of(width), "cluster long, size long, rep long, elements binary")
         .groupBy("cluster", "size", "rep").agg(F.first("elements").alias("elements")), "jaccard-sets")
@@ -431,12 +458,14 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
         more = stored(more, "jaccard-more")
         if not more.isEmpty():
             groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    reached = classes.join(groups.withColumnRenamed("node", "rep"), "rep") \
-        .where("component != rep").select("hi", "lo", "n_shingles", "component")
-    ids = classes.select("hi", "lo", "n_shingles", "rep")
+    reached = classes.join(groups.withColumnRenamed("node", "rep"), "rep")
+    least = reached.groupBy("component").agg(F.min("first").alias("least"))
+    reached = reached.join(least, "component").where("first != least").select("hi", "lo", "n_shingles", "least")
+    ids = classes.join(reached, ["hi", "lo", "n_shingles"], "left") \
+        .select("hi", "lo", "n_shingles", F.coalesce("least", "first").alias("least"))
+    columns = ["doc_id", "text_hash", "n_shingles"]
     alone = rows.where("n_shingles = 0 or doc_id is null").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    ids = ids.join(reached, ["hi", "lo", "n_shingles"], "left") \
-        .select("hi", "lo", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    return known.join(ids, ["hi", "lo", "n_shingles"]).select("doc_id", "n_shingles", "component_id") \
+        *columns, F.col("doc_id").alias("component_id"), F.col("text_hash").alias("component_hash"))
+    return known.join(ids, ["hi", "lo", "n_shingles"]).select(
+        *columns, F.col("least.doc_id").alias("component_id"), F.col("least.text_hash").alias("component_hash")) \
         .unionByName(alone)

@@ -81,6 +81,30 @@ def test_shingle_join(spark, width, percent, block):
     assert shingles.similar_groups(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block", [1500, 2])
+def test_sets_with_the_same_smallest_id(spark, block):
+    """Two sets of one cluster share an id; each has a link that the other has not."""
+    words = [f"w{k}" for k in range(100)]
+    change = lambda w, a, tag: [f"{tag}{k}" if a <= k < a + 10 else x for k, x in enumerate(w)]
+    other = change(words, 0, "o")
+    rows = [(1, words), (1, other), (2, change(other, 20, "b")), (3, change(words, 40, "c")), (1, ["alone"])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    out = shingles.similar_groups(df, 1, 80, block).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in out) == Counter(
+        {(1, 100, 1): 2, (2, 100, 1): 1, (3, 100, 1): 1, (1, 1, 1): 1})
+
+
+def test_near_copies_with_repeated_ids(spark):
+    text = lambda tag, end="": " ".join(f"{tag}{k}" for k in range(100)) + end
+    rows = [(7, text("p")), (7, text("q")), (3, text("p", " x")), (4, text("r")), (4, text("r", " y")), (5, text("r", " z")),
+            (None, text("p")), (8, ""), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = Counter(tuple(r) for r in corpus_pipeline.no_near_copies(spark, df, SF).collect())
+    first = out[4, text("r")]
+    assert first + out[4, text("r", " y")] == 1
+    assert out == Counter([rows[1], rows[2], rows[3 if first else 4], *rows[6:]])
+
+
 def test_t_occurrence():
     rng = np.random.default_rng(4)
     for _ in range(200):
