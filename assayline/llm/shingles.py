@@ -6,8 +6,9 @@
    Parts without elements say nothing: a set that fills too few emits the elements of its
    prefix too, so a pair is found by the one or the other. Every pair that links shares a
    signature; a passage that many documents share makes none equal, as a part must agree whole.
-2. Sets that share signatures form clusters. Each cluster is searched by T-occurrence:
-   inverted lists of its shingles, short ones merged by a heap, long ones probed by binary
+2. Sets that share signatures form clusters. In each, sets with the same smallest hash (three
+   salts) are compared directly, which settles most links. The sets outside the largest group
+   that this gives are searched by T-occurrence: inverted lists of its shingles, short ones merged by a heap, long ones probed by binary
    search (DivideSkip), and documents kept that reach the overlap the threshold asks for.
 3. A cluster too large for a task is cut into blocks that share some pivots. Near copies
    connect through these; the few documents that do not are searched in every block.
