@@ -27,8 +27,18 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     work nor depend on an executor that may be lost."""
     path = scratch(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by \
+    out = df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by \
         else df.sparkSession.read.parquet(path)
+    out.stored_in = path
+    return out
+
+
+def forget(*frames: DataFrame) -> None:
+    """Removes the folders of stored frames that no later step reads."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_in)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from assayline.llm import lines, mixing, shingles, vectors
+from assayline.llm import centroids, lines, mixing, shingles, trie, vectors
 
 SPACE = r"'[\x20\x09-\x0D]+'"
 
@@ -100,3 +100,69 @@ SELECT page_id, count(*) AS n_lines, CAST(sum(CASE WHEN cut THEN 1 ELSE 0 END) A
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT cut), '')) AS kept_sha256
 FROM m GROUP BY page_id
 """
+
+
+#: CRC-32 of the decimal text of conv_id, by its table of 256 values.
+ORACLE["op11_prefix_trie"] = f"""
+WITH RECURSIVE step(i, k, v) AS (
+  SELECT i, 0, i FROM (SELECT unnest(generate_series(CAST(0 AS BIGINT), 255)) AS i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END FROM step WHERE k < 8),
+crc AS (SELECT list(v ORDER BY i) AS t FROM step WHERE k = 8),
+turns AS (SELECT conv_id, turn, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(x ORDER BY turn NULLS FIRST, sha256(len(x.role) || ':' || x.role || x.text)) AS l FROM turns GROUP BY conv_id),
+h AS (SELECT conv_id, l, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+        lambda a, b: xor(a // 256, t[xor(a, b) % 256 + 1])), 4294967295) % {trie.SHARED} AS h FROM own, crc),
+full_ AS (SELECT c.conv_id, list_concat(coalesce(list_slice(r.l, 1, c.h), []), list_slice(c.l, c.h + 1, len(c.l))) AS l
+          FROM h c LEFT JOIN own r ON r.conv_id = c.conv_id - c.conv_id % {trie.FAMILY}),
+member AS (SELECT conv_id, depth, list_slice(l, 1, depth) AS prefix, len(l) = depth AS ends
+           FROM (SELECT *, unnest(generate_series(0, len(l))) AS depth FROM full_)),
+node AS (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+                coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS e
+         FROM member GROUP BY depth, prefix),
+kids AS (SELECT p.conv_id, p.depth, count(*) AS n FROM node p JOIN node k
+         ON k.depth = p.depth + 1 AND list_slice(k.prefix, 1, p.depth) = p.prefix GROUP BY ALL),
+whole AS (SELECT n.*, coalesce(k.n, 0) AS n_children,
+                 (n_convs - 1) * CASE WHEN n.depth > 0 THEN len(prefix[n.depth].text) ELSE 0 END AS saved
+          FROM node n LEFT JOIN kids k ON k.conv_id = n.conv_id AND k.depth = n.depth),
+-- A node lies under every prefix of its smallest member that is no longer than its own.
+under AS (SELECT t.conv_id, t.depth, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens
+          FROM whole b JOIN member m ON m.conv_id = b.conv_id AND m.depth <= b.depth
+          JOIN node t ON t.depth = m.depth AND t.prefix = m.prefix GROUP BY ALL)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, u.n_leaves, u.saved_tokens,
+       sha256(w.e) AS ends_sha256
+FROM whole w JOIN under u ON u.conv_id = w.conv_id AND u.depth = w.depth
+LEFT JOIN node p ON p.depth = w.depth - 1 AND p.prefix = list_slice(w.prefix, 1, w.depth - 1)
+"""
+
+
+def _centroid_sql() -> str:
+    """The rounds written out one after the other."""
+    k, width, scale = centroids.CENTROIDS, centroids.WIDTH, centroids.SCALE
+    parts = [f"""
+WITH e AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+v AS MATERIALIZED (SELECT r, vec_id, list_transform(e, lambda x: CAST(floor({scale} * x) AS HUGEINT)) AS q FROM e
+      WHERE len(e) = {width} AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT r, unnest(generate_series(1, {width})) AS j, unnest(q) AS v FROM v),
+begun AS (SELECT row_number() OVER (ORDER BY sha256('{centroids.SALT}' || vec_id), q) - 1 AS c, q FROM v),
+c0 AS MATERIALIZED (SELECT c, unnest(generate_series(1, {width})) AS j, unnest(q) AS v FROM begun WHERE c < {k})"""]
+    for i in range(centroids.ROUNDS + 1):
+        parts.append(f"""
+a{i} AS MATERIALIZED (SELECT r, c, d FROM (SELECT x.r, c.c, sum((x.v - c.v) * (x.v - c.v)) AS d FROM x JOIN c{i} c ON x.j = c.j GROUP BY ALL)
+       QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if i < centroids.ROUNDS:
+            parts.append(f"""
+m{i} AS MATERIALIZED (SELECT c, j, sum(v) AS s, count(*) AS n FROM a{i} JOIN x USING (r) GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT c.c, c.j, CASE WHEN n IS NULL THEN v WHEN s >= 0 THEN s // n ELSE -((-s + n - 1) // n) END AS v
+       FROM c{i} c LEFT JOIN m{i} m ON m.c = c.c AND m.j = c.j)""")
+    last = centroids.ROUNDS
+    parts.append(f"""
+sha AS (SELECT c, sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY j)) AS s FROM c{last} GROUP BY c)""")
+    return ",".join(parts) + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, s AS centroid_sha256
+FROM a{last} a JOIN v USING (r) JOIN sha ON sha.c = a.c
+"""
+
+
+ORACLE["op12_centroid_clustering"] = _centroid_sql()

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayline.llm import exact, licenses, lines, mixing, packing, pii, quality, shingles, suffix, vectors
+from assayline.llm import centroids, exact, licenses, lines, mixing, packing, pii, quality, shingles, suffix, toxicity, trie, vectors
 from assayline.llm.common import table
 
 
@@ -73,6 +74,26 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("page_id", "n_lines", "n_removed", hex256("kept").alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    rows, found, inertia = centroids.clustered(table(spark, folder, "embeddings"))
+    # One value per centroid, by its number: eight at most, however many vectors.
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in found]
+
+    def own(values: list, kind: str) -> Column:
+        each = F.array(*[F.lit(v) for v in values]) if values else F.array(F.lit(None))
+        return F.element_at(each, F.col("cluster") + 1).cast(kind)
+    return rows.select("vec_id", "cluster", "distance", own([min(v, centroids.LONG) for v in inertia], "long").alias("cluster_inertia"),
+                       F.lit(min(sum(inertia), centroids.LONG)).cast("long").alias("inertia"), own(sha, "string").alias("centroid_sha256"))
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, folder)
@@ -80,4 +101,5 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_mix_sources, op2_quality_classifier, op3_suffix_dedup, op4_best_fit_packing, op5_pii,
-    op6_embedding_near_dedup, op7_exact_dedup, op8_license_scan, op9_ngram_jaccard, op10_line_dedup, pipeline)}
+    op6_embedding_near_dedup, op7_exact_dedup, op8_license_scan, op9_ngram_jaccard, op10_line_dedup,
+    op11_prefix_trie, op12_centroid_clustering, op13_toxicity, pipeline)}
