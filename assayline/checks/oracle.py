@@ -548,6 +548,19 @@ _put("bronze_customers", "SELECT " + ", ".join(
 FROM customer_files""", "customer_files")
 _put("bronze_claims", """SELECT * EXCLUDE (_source_file, _ingest_time), NULL::VARCHAR AS _rescued_data,
   'Insurance_6' AS _source_region FROM raw_claims""", "raw_claims")
+_put("bronze_claims_array", """SELECT "ClaimID", "injury", CAST(TRY_CAST("ClaimID" AS DECIMAL(20,2)) AS VARCHAR) AS number, NULL::VARCHAR AS _rescued_data,
+  'Insurance_6' AS _source_region FROM raw_claims""", "raw_claims")
+_put("bronze_inferred", """WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders)
+SELECT CASE WHEN k % 3 = 1 THEN 'n' ELSE '' END || k AS id,
+  CASE k % 3 WHEN 0 THEN k WHEN 2 THEN k + 3000000000 END AS big,
+  CASE k % 3 WHEN 0 THEN CAST(c AS DOUBLE) WHEN 1 THEN c + CAST(0.5 AS DOUBLE) END AS amount,
+  CASE WHEN k % 6 = 2 THEN 'unknown' ELSE day END AS day,
+  CASE k % 3 WHEN 0 THEN day || ' 00:00:00' WHEN 1 THEN day || ' 10:30:00' END AS seen,
+  CASE k % 3 WHEN 0 THEN k % 2 = 0 WHEN 2 THEN k % 2 = 1 END AS flag FROM o""")
+_put("rescued_rows", """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
+  CASE c_custkey % 5 WHEN 1 THEN 'a,' || c_name WHEN 3 THEN NULL ELSE c_name END AS c_name,
+  CASE c_custkey % 5 WHEN 0 THEN '{"_c2":"more"}' WHEN 1 THEN '{"_c3":"x \\"y\\" z"}'
+    WHEN 2 THEN '{"_corrupt_record":"' || c_custkey || ',\\"' || c_name || '"}' END AS _rescued_data FROM customer""")
 _put("file_log", """SELECT 'customers' AS entity, 'csv' AS file_format,
   'Insurance ' || CAST(shape AS VARCHAR) AS _source_region, 'processed' AS status,
   count(*) AS row_count FROM customer_files GROUP BY ALL""", "customer_files")
@@ -966,6 +979,15 @@ FROM events GROUP BY event_type""")
 _put("stream_clean", """SELECT DISTINCT policy_number, customer_id, car_id FROM clean_policy
 WHERE policy_number IS NOT NULL AND customer_id IS NOT NULL AND car_id IS NOT NULL""",
      "clean_policy")
+_put("stream_growing", """SELECT 'Insurance ' || i AS _source_region, CASE WHEN i <> 1 THEN NULLIF(fuel, '') END AS fuel,
+  CASE WHEN i = 1 THEN NULLIF(model, '') END AS model, count(*) AS n, count(NULLIF(car_id, '')) AS n_car_id,
+  count(NULLIF(km_driven, '')) FILTER (i = 1) AS n_km_driven, count(NULLIF(mileage, '')) FILTER (i = 2) AS n_mileage,
+  count(NULLIF(engine, '')) FILTER (i = 2) AS n_engine
+FROM raw_cars, (SELECT unnest([0, 1, 2]) AS i) WHERE (i = 1) = (_source_file LIKE '%cars_2.csv')
+  AND (i <> 0 OR NULLIF(car_id, '') IS NOT NULL OR NULLIF(fuel, '') IS NOT NULL)
+  AND (i <> 1 OR coalesce(NULLIF(model, ''), NULLIF(car_id, ''), NULLIF(km_driven, '')) IS NOT NULL)
+  AND (i <> 2 OR coalesce(NULLIF(mileage, ''), NULLIF(fuel, ''), NULLIF(car_id, ''), NULLIF(engine, '')) IS NOT NULL)
+GROUP BY ALL""", "raw_cars")
 _put("stream_bronze", """SELECT 'Insurance 4' AS _source_region, NULLIF(fuel, '') AS fuel,
   NULLIF(model, '') AS model, count(*) AS n, count(NULLIF(car_id, '')) AS ids,
   count(NULLIF(mileage, '')) FILTER (_source_file LIKE '%cars.csv') AS mileages FROM raw_cars GROUP BY ALL""",

@@ -312,6 +312,60 @@ def bronze_claims(spark, folder):
     return SRC.ingest(spark, source, base).drop("_source_file", "_ingest_time")
 
 
+@query
+def bronze_claims_array(spark, folder):
+    """The same as files of one JSON array each, numbers among the values. Ids tell files
+    apart: some hundred records make a file."""
+    base = scratch(spark, "raw-claim-arrays")
+    rows = bronze(spark, folder, "claims").select(
+        F.to_json(F.struct("ClaimID", "injury", F.col("ClaimID").try_cast("decimal(20,2)").alias("number"))).alias("j"),
+        F.floor(F.monotonically_increasing_id() / 500).alias("file"))
+    (rows.groupBy("file").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
+     .select("value").write.option("lineSep", "\n\n").option("maxRecordsPerFile", 1).text(f"{base}/Insurance_6"))
+    source = SRC.Source("claims", "json", "*.txt", ("ClaimID", "injury", "number"))
+    return SRC.ingest(spark, source, base).drop("_source_file", "_ingest_time")
+
+
+@query
+def bronze_inferred(spark, folder):
+    """Three headers, and columns whose types differ between the files that have them."""
+    base = scratch(spark, "raw-typed")
+    o = tpc(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"),
+        F.col("o_orderdate").cast("date").cast("string").alias("day"))
+    k = F.col("k")
+    parts = [
+        o.filter(k % 3 == 0).select(k.alias("id"), k.alias("big"), F.col("c").alias("amount"), "day", F.col("day").alias("seen"),
+                                    (k % 2 == 0).alias("flag")),
+        o.filter(k % 3 == 1).select("day", (F.col("c") + 0.5).alias("amount"), F.concat(F.lit("n"), k.cast("string")).alias("id"),
+                                    F.concat("day", F.lit(" 10:30:00")).alias("seen")),
+        o.filter(k % 3 == 2).select(F.when(k % 2 == 0, F.lit("unknown")).otherwise(F.col("day")).alias("day"), k.alias("id"),
+                                    (k + 3_000_000_000).alias("big"), (k % 2 == 1).alias("flag"))]
+    for i, df in enumerate(parts):
+        df.write.option("header", True).csv(f"{base}/Insurance {i}")
+    df = SRC.ingest(spark, SRC.Source("t", "csv", "*.csv", ("id", "big", "amount", "day", "seen", "flag")), base, infer_types=True)
+    return portable(df.drop("_source_file", "_ingest_time", "_source_region", SRC.RESCUED))
+
+
+@query
+def rescued_rows(spark, folder):
+    """Records with values beyond the header, too few values, and quotes that do not close."""
+    base = scratch(spark, "raw-surplus")
+    c, key = tpc(spark, folder, "customer"), F.col("c_custkey")
+    k, name = key.cast("string"), F.col("c_name")
+    line = (F.when(key % 5 == 0, F.concat(k, F.lit(","), name, F.lit(",more")))
+            .when(key % 5 == 1, F.concat(k, F.lit(',"a,'), name, F.lit('",,"x ""y"" z"')))
+            .when(key % 5 == 2, F.concat(k, F.lit(',"'), name))
+            .when(key % 5 == 3, k).otherwise(F.concat(k, F.lit(","), name)))
+    # one header line per file: the first record of each task of the writer
+    rows = c.select(line.alias("value"), F.monotonically_increasing_id().alias("at"), F.spark_partition_id().alias("part"))
+    heads = rows.groupBy("part").agg(F.min("at").alias("at")).select(F.lit("c_custkey,c_name").alias("value"), (F.col("at") - 0.5).alias("at"), "part")
+    (rows.withColumn("at", F.col("at").cast("double")).unionByName(heads)
+     .repartition("part").sortWithinPartitions("part", "at").select("value", "part").write.partitionBy("part").text(base))
+    df = SRC.ingest(spark, SRC.Source("t", "csv", "*.txt", ("c_custkey", "c_name")), base)
+    return df.select("c_custkey", "c_name", SRC.RESCUED)
+
+
 @query
 def file_log(spark, folder):
     log = SRC.file_log({"customers": _customer_files(spark, folder)})
@@ -760,6 +814,24 @@ def stream_clean(spark, folder):
     return spark.read.parquet(out).select("policy_number", "customer_id", "car_id")
 
 
+@query
+def stream_growing(spark, folder):
+    """Three micro-batches, each with columns the ones before had not. The reader takes the
+    columns from the schema log and opens no file to find them."""
+    src, out, mark = (scratch(spark, n) for n in ("grow-src", "grow-out", "grow-mark"))
+    df = bronze(spark, folder, "cars")
+    first, second = df.filter("_source_file like '%cars.csv'"), df.filter("_source_file like '%cars_2.csv'")
+    batches = [first.select("car_id", "fuel"), second.select("model", "car_id", "km_driven"),
+               first.select("mileage", "fuel", "car_id", "engine")]
+    source = SRC.Source("cars", "csv", "*.csv")
+    for i, batch in enumerate(batches):
+        batch.write.option("header", True).csv(f"{src}/Insurance {i}")
+        jobs.bronze(spark, source, src, out, mark).awaitTermination()
+    grown = jobs.read_bronze(spark, out, mark)
+    return grown.groupBy("_source_region", "fuel", "model").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n_{c}") for c in ("car_id", "km_driven", "mileage", "engine")])
+
+
 @query
 def stream_bronze(spark, folder):
     """Files with several headers, followed by a stream."""
@@ -771,6 +843,6 @@ def stream_bronze(spark, folder):
      .write.option("header", True).csv(f"{src}/Insurance 4/second"))
     source = SRC.Source("cars", "csv", "*.csv", K.RAW_COLUMNS["cars"])
     jobs.bronze(spark, source, src, out, mark).awaitTermination()
-    return jobs.read_bronze(spark, out).groupBy("_source_region", "fuel", "model").agg(
+    return jobs.read_bronze(spark, out, mark).groupBy("_source_region", "fuel", "model").agg(
         F.count(F.lit(1)).alias("n"), F.count("car_id").alias("ids"),
         F.count("mileage").alias("mileages"))

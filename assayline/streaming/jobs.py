@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from assayline.operators.latest import keep_any, keep_any_within
 from assayline.operators.rules import expect
 from assayline.plans.silver import ENTITIES, EXPECTATIONS
+from assayline.sources import schema_log
 from assayline.sources.files import Source, escaped, file_log_of, ingest
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
@@ -34,22 +35,29 @@ def bronze(spark: SparkSession, source: Source, folder: str, out: str, checkpoin
     A stream has one fixed schema, so the stream carries file names, at most
     `files_per_batch` of them, and each micro-batch reads its files as a batch:
     header by header, extra columns rescued. A micro-batch owns one sub-folder and
-    replaces it, so a repeated micro-batch leaves no rows twice.
+    replaces it, so a repeated micro-batch leaves no rows twice. Columns that are new
+    go to the schema log beside the checkpoint before the rows are written.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         paths = [escaped(r["path"]) for r in batch.toLocalIterator()]
         if paths:
-            ingest(batch.sparkSession, source, paths).write.mode("overwrite").parquet(
-                f"{out}/batch={batch_id}")
+            rows = ingest(batch.sparkSession, source, paths)
+            schema_log.extend(batch.sparkSession, schema_of(checkpoint), batch_id, rows.schema)
+            rows.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (new_files(spark, source, folder, files_per_batch).writeStream
             .foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def read_bronze(spark: SparkSession, out: str) -> DataFrame:
-    """Everything ingested so far, under the union of all columns."""
-    return spark.read.option("mergeSchema", True).parquet(out).drop("batch")
+def schema_of(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}-schema"
+
+
+def read_bronze(spark: SparkSession, out: str, checkpoint: str) -> DataFrame:
+    """Everything ingested so far, under the columns of the schema log: files are opened
+    for their rows alone. Files that lack a column give NULL."""
+    return spark.read.schema(schema_log.current(spark, schema_of(checkpoint))).parquet(out).drop("batch")
 
 
 def stream_of(spark: SparkSession, folder: str, pattern: str = "*.parquet",

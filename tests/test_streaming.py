@@ -16,14 +16,14 @@ def test_only_new_files_are_ingested(spark, tmp_path):
         Path(src, name).parent.mkdir(parents=True, exist_ok=True)
         Path(src, name).write_text(content)
     jobs.bronze(spark, SOURCES["customers"], src, out, mark, files_per_batch=1).awaitTermination()
-    assert jobs.read_bronze(spark, out).count() == 7
+    assert jobs.read_bronze(spark, out, mark).count() == 7
     fixture_files.write(src)
     jobs.bronze(spark, SOURCES["customers"], src, out, mark).awaitTermination()
-    df = jobs.read_bronze(spark, out)
+    df = jobs.read_bronze(spark, out, mark)
     assert df.count() == 10 and {"CustomerID", "cust_id", "Edu"} <= set(df.columns)
     assert df.filter("_rescued_data is not null").count() == 1
     jobs.bronze(spark, SOURCES["customers"], src, out, mark).awaitTermination()
-    assert jobs.read_bronze(spark, out).count() == 10
+    assert jobs.read_bronze(spark, out, mark).count() == 10
 
 
 def test_json_files_are_followed(spark, tmp_path):
@@ -31,7 +31,7 @@ def test_json_files_are_followed(spark, tmp_path):
     Path(src).mkdir()
     Path(src, "claims_9.json").write_text(json.dumps([fixture_files.claim(ClaimID=i) for i in range(5)]))
     jobs.bronze(spark, SOURCES["claims"], src, f"{tmp_path}/out", f"{tmp_path}/mark").awaitTermination()
-    assert jobs.read_bronze(spark, f"{tmp_path}/out").count() == 5
+    assert jobs.read_bronze(spark, f"{tmp_path}/out", f"{tmp_path}/mark").count() == 5
 
 
 def test_stream_keeps_one_row_per_key_across_runs(spark, tmp_path):
