@@ -7,7 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assayline.session import scratch
 
@@ -16,6 +18,8 @@ SPACE = r"[\x20\x09-\x0D]+"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Bytes of a word from which on it has a hash of its own; shorter ones share prefix sums.
+LONG_WORD = 128
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +45,43 @@ def forget(*frames: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many '_' before it as no column of the frame has (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+#: Bits of a filter per key, and the most bits it may have: 16 MB, whatever the number of keys.
+KEY_BITS = 16
+MOST_BITS = 1 << 27
+_WORD = 15  # Spark's bitmaps have 2**15 bits
+
+
+def may_have(df: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """The rows of `df` whose `columns` may be among those of `keys`: all that are, and few
+    others, so that a join that follows does not send every row through an exchange.
+
+    `keys` is counted and then turned into a bitmap by hash, which is sent to all tasks. Its
+    size is bounded; with more keys than it is made for, more of the other rows stay.
+    """
+    n = max(1, keys.count())
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(_WORD, (KEY_BITS * n - 1).bit_length()))
+    place, word, field = free(df, "key_place", "key_word", "key_bits")
+    own = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(bits))
+    bitmap = keys.select(own.alias(place)).groupBy(F.shiftright(place, _WORD).alias(word)).agg(
+        F.bitmap_construct_agg(F.col(place).bitwiseAND((1 << _WORD) - 1)).alias(field))
+    bit = F.col(place).bitwiseAND((1 << _WORD) - 1)
+    byte = F.conv(F.hex(F.substring(F.col(field), (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    return (df.withColumn(place, own).withColumn(word, F.shiftright(place, _WORD))
+            .join(F.broadcast(bitmap), word).where(F.getbit(byte, bit.bitwiseAND(7).cast("int")) == 1)
+            .select(*[F.col(f"`{c}`") for c in df.columns]))
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch with about `limit` bytes of `column`, one row at least."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0)
@@ -74,6 +115,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Distinct values in order. Sorts, which is several times faster here than hashing them."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -125,5 +172,8 @@ def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     after[-1], after[:-1] = True, space[1:]
     start = np.flatnonzero(~space & (before | edge[:-1]))
     end = np.flatnonzero(~space & (after | edge[1:])) + 1
-    return (stretch(prefix_sums(data), start, end),
-            np.searchsorted(at, start, "right") - 1)
+    found = stretch(prefix_sums(data), start, end)
+    # Sums modulo 2**64 agree for some long words that differ; those are hashed apart.
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        found[i] = xxhash.xxh64_intdigest(data[start[i]:end[i]].tobytes())
+    return found, np.searchsorted(at, start, "right") - 1

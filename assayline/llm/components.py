@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import stored
+from assayline.llm.common import forget, stored
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -32,9 +32,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         # node serves the distinct rows, the minimum and the join.
         large = large.repartition("a").dropDuplicates()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        now = stored(large.join(least, "a").select(F.explode(F.array(
+        before, now = now, stored(large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b").where("a != b").dropDuplicates(), "edges")
+        forget(before)
     raise RuntimeError(f"no stars after {most_rounds} rounds")
 
 

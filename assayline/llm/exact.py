@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import SPACE, stored
+from assayline.llm.common import SPACE, free, may_have, stored
 from assayline.session import scratch
 
 #: Settings of the stream: state on disk; a store is closed once its batch is committed, so that
@@ -93,8 +93,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # Full bytes of the rows in groups. The text that stays is laid out once for every
     # PER_SALT rows of its group, so many tasks compare a hot group.
     ids = joined.where("group_size > 1").select("at", "digest", "keep_id", "group_size").distinct()
-    full = stored(base.select("at", "text", digest(F.col("text")).alias("digest"))
-                  .join(ids.hint("shuffle_hash"), ["at", "digest"]), "dedup-hits")
+    # Only texts that may be in a group go through the exchange of the join.
+    ids = stored(ids, "dedup-ids")
+    full = may_have(base.select("at", "text", digest(F.col("text")).alias("digest")), ids, "at", "digest")
+    full = stored(full.join(ids.hint("shuffle_hash"), ["at", "digest"]), "dedup-hits")
     salts = F.ceil(F.col("group_size") / PER_SALT).cast("int")
     stays = full.where("at = keep_id").groupBy("digest", "group_size") \
         .agg(F.min("text").alias("stays")) \
@@ -121,11 +123,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def keep_first(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns. Rows equal in id and text cannot
     be told apart by the groups; of those one is taken."""
-    key = {"_at": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))}
-    marked = docs.withColumns(key | {"_sha": sha256(normal("text"))})
-    seen = groups.withColumns(key).groupBy("_at", F.col("text_sha256").alias("_sha")) \
-        .agg(F.max("kept").alias("_kept"), F.count("*").alias("_n")).where("not _kept or _n > 1")
-    alone = marked.join(seen.select("_at", "_sha"), ["_at", "_sha"], "left_anti")
-    again = marked.join(seen.where("_kept").select("_at", "_sha"), ["_at", "_sha"], "left_semi") \
-        .dropDuplicates(["_at", "_sha"])
-    return alone.unionByName(again).select(*docs.columns)
+    at, sha, kept, n = free(docs, "_at", "_sha", "_kept", "_n")
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    marked = docs.withColumns({at: key, sha: sha256(normal("text"))})
+    seen = groups.groupBy(key.alias(at), F.col("text_sha256").alias(sha)) \
+        .agg(F.max("kept").alias(kept), F.count("*").alias(n)).where(~F.col(kept) | (F.col(n) > 1))
+    alone = marked.join(seen.select(at, sha), [at, sha], "left_anti")
+    again = marked.join(seen.where(kept).select(at, sha), [at, sha], "left_semi").dropDuplicates([at, sha])
+    return alone.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assayline.llm.common import mix, pieces, stored, utf8, word_hashes
+from assayline.llm.common import distinct, may_have, mix, pieces, stored, utf8, word_hashes
 
 #: Fixed production parameters: log2 of slots, rows the model is fitted to at most, smoothing,
 #: cost of a margin error, share of the fitted weights, passes over the sample, decision.
@@ -54,7 +54,7 @@ def slots(data: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray, np.n
     shift = np.uint64(64 - bits)
     keys = np.concatenate([(doc.astype(np.uint64) << np.uint64(bits)) | (words >> shift),
                            (doc[:-1][same].astype(np.uint64) << np.uint64(bits)) | (pair[same] >> shift), *again])
-    keys = np.unique(keys)
+    keys = distinct(keys)
     starts = np.searchsorted(keys, np.arange(len(at), dtype=np.uint64) << np.uint64(bits))
     return (keys & np.uint64((1 << bits) - 1)).astype(np.int32), starts
 
@@ -66,7 +66,7 @@ def counter(bits: int):
     """Counts documents per class and slot in a task; rows to fit pass through as slot lists."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        counts = np.zeros((2, 1 << bits), np.int32)
+        counts = np.zeros((2, 1 << bits), np.int64)
         names = ["part", "slice", "row", "label", "data"]
         for batch in batches:
             for piece in pieces(batch, "text"):
@@ -75,7 +75,7 @@ def counter(bits: int):
                 fit = piece.column("fit").to_numpy(zero_copy_only=False)
                 per = np.repeat(label, np.diff(at))
                 for c in (0, 1):
-                    counts[c] += np.bincount(found[per == c], minlength=1 << bits).astype(np.int32)
+                    counts[c] += np.bincount(found[per == c], minlength=1 << bits)
                 rows = np.flatnonzero(fit)
                 if len(rows):
                     yield pa.RecordBatch.from_arrays([
@@ -94,10 +94,10 @@ def counter(bits: int):
 
 
 def add_up(group: pd.DataFrame) -> pd.DataFrame:
-    total = sum((np.frombuffer(d, np.int32).astype(np.int64) for d in group["data"][1:]),
-                np.frombuffer(group["data"].iloc[0], np.int32).astype(np.int64))
-    return pd.DataFrame({"slice": [group["slice"].iloc[0]],
-                         "data": [np.minimum(total, 2**31 - 1).astype(np.int32).tobytes()]})
+    total = np.frombuffer(group["data"].iloc[0], np.int64).copy()
+    for d in group["data"][1:]:
+        total += np.frombuffer(d, np.int64)
+    return pd.DataFrame({"slice": [group["slice"].iloc[0]], "data": [total.tobytes()]})
 
 
 def fit_model(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, cost: float = COST,
@@ -166,13 +166,14 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = BITS, fit_rows: int =
     given = given.join(F.broadcast(chosen), F.col("doc_id") == F.col("fit_id"), "left") \
         .select("doc_id", "label", F.col("fit_id").isNotNull().alias("fit"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counted = stored(texts.join(given.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "label", "fit")
+    # Only texts that may have a label go through the exchange of the join.
+    counted = stored(may_have(texts, given, "doc_id").join(given.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "label", "fit")
                      .mapInArrow(counter(bits), COUNTED), "quality-counts")
     sums = counted.where("slice >= 0").groupBy("slice", "part").applyInPandas(add_up, "slice int, data binary") \
         .groupBy("slice").applyInPandas(add_up, "slice int, data binary").orderBy("slice").collect()
     if not sums:
         return np.array([0.0] * (1 << bits) + [0.0, 0.0, 30.0])
-    counts = np.concatenate([np.frombuffer(r["data"], np.int32).reshape(2, -1) for r in sums], axis=1) + SMOOTH
+    counts = np.concatenate([np.frombuffer(r["data"], np.int64).reshape(2, -1) for r in sums], axis=1) + SMOOTH
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     shared = spark.sparkContext.broadcast(ratio)
 
@@ -224,7 +225,9 @@ def score(docs: DataFrame, model: np.ndarray, id_col: str = "doc_id", text_col:
 
 
 def accepted(docs: DataFrame, model: np.ndarray, text_col: str = "text", decide: float = DECIDE) -> DataFrame:
-    """The rows of `docs`, with all their columns, whose score is at least `decide`."""
+    """The rows of `docs`, with all their columns, whose score is at least `decide`. Null and empty
+    texts have the score of the bias; each row is judged by its own text, so rows that share an id
+    or a text are kept or not each for itself; an empty table stays empty."""
     bits = int(np.log2(len(model) - 3))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import mix, pieces, stored, utf8, word_hashes
+from assayline.llm.common import distinct, forget, free, may_have, mix, pieces, stored, utf8, word_hashes
 from assayline.llm.components import components
 
 WIDTH = 4
@@ -47,7 +47,7 @@ def set_of(words: np.ndarray, width: int) -> np.ndarray:
     x = mix(words[:n - k + 1] + np.uint64(k))
     for i in range(1, k):
         x = mix(x * np.uint64(5) + words[i:n - k + 1 + i])
-    return np.unique(x)
+    return distinct(x)
 
 
 def sets_of(column: pa.Array, width: int) -> list[np.ndarray]:
@@ -324,13 +324,20 @@ def edge_frame(nodes: list[int], edges: list[tuple[int, int]]) -> pd.DataFrame:
     return pd.DataFrame([(nodes[i], nodes[j]) for i, j in edges], columns=["a", "b"], dtype=np.int64)
 
 
-def within(percent: int):
-    """Links in each cluster, or block of a cluster, of a group of rows."""
+def within(width: int, percent: int):
+    """Links in each cluster of a group of rows with texts, or with elements where a block of a
+    cluster has its sets stored. A text counts if it has the digest of the set it stands for."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, own in group.groupby("cluster"):
-            own = own.drop_duplicates("rep").sort_values("rep")
-            sets = [np.frombuffer(x, np.uint64) for x in own["elements"]]
+            own = own.sort_values("rep")
+            if "text" in own:
+                sets = sets_of(pa.array(own["text"], pa.string()), width)
+                right = [digest(s) == k for s, k in zip(sets, zip(own["hi"], own["lo"]))]
+                sets, own = [s for s, r in zip(sets, right) if r], own[right]
+            else:
+                own = own.drop_duplicates("rep")
+                sets = [np.frombuffer(x, np.uint64) for x in own["elements"]]
             if len(sets) > 1:
                 out.append(edge_frame(own["rep"].tolist(), connect(sets, percent)))
         return pd.concat(out) if out else edge_frame([], [])
@@ -387,10 +394,11 @@ def keep_first(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> D
     with the smallest id (of several with this id, the one with the smallest hash of its text).
     Rows without an id or a shingle stay. Rows equal in id and text cannot be told apart and
     stay or go together."""
+    own, key = free(docs, "_id", "_hash")
     gone = grouped_rows(docs, width, percent).where("doc_id != component_id or text_hash != component_hash") \
-        .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(gone, (F.col("doc_id").cast("long") == F.col("_id")) & (text_key() == F.col("_hash")), "left_anti") \
-        .select(*docs.columns)
+        .select(F.col("doc_id").alias(own), F.col("text_hash").alias(key)).distinct()
+    return docs.join(gone, (docs["doc_id"].cast("long") == F.col(own)) & (text_key() == F.col(key)), "left_anti") \
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK,
@@ -417,30 +425,34 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     members = classes.join(clusters, "hi")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(sizes, "cluster"), "jaccard-members")
-    # One document per set: its shingles. Rows equal in id and text give the set once.
-    sets = stored(
-        texts.join(members.select("cluster", "size", "rep", "first.doc_id", "first.text_hash", "hi", "lo")
-                   .hint("shuffle_hash"), ["doc_id", "text_hash"])
-        .select("cluster", "size", "rep", "hi", "lo", "text")
-        .mapInArrow(elements_of(width), "cluster long, size long, rep long, elements binary")
-        .groupBy("cluster", "size", "rep").agg(F.first("elements").alias("elements")), "jaccard-sets")
+    # One text per set, and only texts that may be one of these go through an exchange. Rows
+    # equal in id and text are brought down to one before it.
+    wanted = members.select("cluster", "size", "rep", "first.doc_id", "first.text_hash", "hi", "lo")
+    own = may_have(texts.where("doc_id is not null"), wanted, "doc_id", "text_hash") \
+        .groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
     blocks = F.ceil(F.col("size") / block).cast("int")
     here = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     cells = 4 * shards
-    small = sets.where(blocks == 1).withColumn("cell", F.pmod(F.xxhash64("cluster"), F.lit(cells))) \
-        .withColumn("block", F.lit(-1))
-    large = sets.where(blocks > 1)
-    pivots = members.where(blocks > 1).groupBy("cluster").agg(
-        *[F.min(F.struct(F.xxhash64("rep", F.lit(k)), "rep")).alias(f"p{k}") for k in range(PIVOTS)]) \
-        .select("cluster", F.explode(F.array_distinct(F.array(*[F.col(f"p{k}.rep") for k in range(PIVOTS)]))).alias("rep"))
-    shared = large.join(pivots, ["cluster", "rep"]).select(
-        "cluster", "size", "rep", "elements", F.col("cluster").alias("cell"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-    parts = small.unionByName(large.withColumn("cell", F.col("cluster")).withColumn("block", here)) \
-        .unionByName(shared)
-    edges = stored(parts.groupBy("cell", "block").applyInPandas(within(percent), EDGES), "jaccard-links")
+    small = own.join(wanted.where(blocks == 1).hint("shuffle_hash"), ["doc_id", "text_hash"]) \
+        .select("cluster", "rep", "hi", "lo", "text", F.pmod(F.xxhash64("cluster"), F.lit(cells)).alias("cell"))
+    edges = small.groupBy("cell").applyInPandas(within(width, percent), EDGES)
+    some_large = not members.where(blocks > 1).isEmpty()
+    if some_large:
+        # Blocks of a large cluster meet several times, so its sets are stored.
+        large = stored(own.join(wanted.where(blocks > 1).hint("shuffle_hash"), ["doc_id", "text_hash"])
+                       .select("cluster", "size", "rep", "hi", "lo", "text")
+                       .mapInArrow(elements_of(width), "cluster long, size long, rep long, elements binary"), "jaccard-sets")
+        pivots = members.where(blocks > 1).groupBy("cluster").agg(
+            *[F.min(F.struct(F.xxhash64("rep", F.lit(k)), "rep")).alias(f"p{k}") for k in range(PIVOTS)]) \
+            .select("cluster", F.explode(F.array_distinct(F.array(*[F.col(f"p{k}.rep") for k in range(PIVOTS)]))).alias("rep"))
+        shared = large.join(pivots, ["cluster", "rep"]).select(
+            "cluster", "rep", "elements", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+        parts = large.select("cluster", "rep", "elements", here.alias("block")).unionByName(shared)
+        edges = edges.unionByName(parts.groupBy("cluster", "block").applyInPandas(within(width, percent), EDGES))
+    edges = stored(edges, "jaccard-links")
     groups = components(edges)
-    if not large.isEmpty():
+    forget(edges)
+    if some_large:
         # Documents apart from the main group of a large cluster meet all of its blocks.
         labelled = large.join(groups.withColumnRenamed("node", "rep"), "rep", "left") \
             .withColumn("component", F.coalesce("component", "rep"))
@@ -459,6 +471,8 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
         more = stored(more, "jaccard-more")
         if not more.isEmpty():
             groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+        forget(labelled, large, more)
+    forget(members)
     reached = classes.join(groups.withColumnRenamed("node", "rep"), "rep")
     least = reached.groupBy("component").agg(F.min("first").alias("least"))
     reached = reached.join(least, "component").where("first != least").select("hi", "lo", "n_shingles", "least")

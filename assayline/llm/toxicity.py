@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import GOLDEN, mix, pieces, prefix_sums, stored, stretch, utf8
+from assayline.llm.common import GOLDEN, distinct, mix, pieces, prefix_sums, stored, stretch, utf8
 from assayline.llm.quality import held_out
 
 #: Fixed production parameters: log2 of slots, labelled ids looked at, rows of a class that are
@@ -72,7 +72,7 @@ def slots(data: np.ndarray, at: np.ndarray, bits: int = BITS) -> tuple[np.ndarra
     doc = np.searchsorted(at, start, "right") - 1
     # A word ends where a byte that is no letter, or the next text, begins.
     stop = np.flatnonzero(~letter)
-    stop = np.unique(np.concatenate([stop, at]))
+    stop = distinct(np.concatenate([stop, at]))
     end = stop[np.searchsorted(stop, start, "right")]
     sums = prefix_sums(_LOWER[data])
     word = stretch(sums, start, end)
@@ -86,21 +86,24 @@ def slots(data: np.ndarray, at: np.ndarray, bits: int = BITS) -> tuple[np.ndarra
         found.append(mix(word[:-1] * np.uint64(3) + word[1:] + GOLDEN)[same])
         owner.append(doc[1:][same])
     shift = np.uint64(64 - bits)
-    keys = np.unique((np.concatenate(owner).astype(np.uint64) << np.uint64(bits)) | (np.concatenate(found) >> shift))
+    keys = distinct((np.concatenate(owner).astype(np.uint64) << np.uint64(bits)) | (np.concatenate(found) >> shift))
     starts = np.searchsorted(keys, np.arange(len(at), dtype=np.uint64) << np.uint64(bits))
     return (keys & np.uint64((1 << bits) - 1)).astype(np.int32), starts
 
 
+_WORDS = re.compile(r"\w+")
+
+
 class Swaps:
     """Counterfactuals of a text."""
 
     def __init__(self, terms: Sequence[Sequence[str]] = IDENTITY_TERMS):
         self.kind = {t: kind for kind in terms for t in kind}
         every = sorted(self.kind, key=lambda t: (-len(t), t))
-        self.find = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, every)) + r")(?!\w)", re.I) if every else None
+        self.find = re.compile(r"\b(?:" + "|".join(map(re.escape, every)) + r")\b", re.I) if every else None
 
     def has(self, text: str) -> bool:
-        return self.find is not None and self.find.search(text) is not None
+        return not self.kind.keys().isdisjoint(_WORDS.findall(text.lower()))
 
     def of(self, text: str, by: int) -> str:
         """Every identity term is replaced by the one `by` places on in its line, round and round."""
@@ -123,21 +126,20 @@ def features(bits: int, swaps: int, terms: Sequence[Sequence[str]]):
         swap = Swaps(terms)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                own, at = slots(*utf8(piece.column("text")), bits)
-                fit = piece.column("fit").to_pylist()
                 texts = [t or "" for t in piece.column("text").to_pylist()]
+                named = [swap.has(t) for t in texts]
+                keep = [i for i, f in enumerate(piece.column("fit").to_pylist()) if f or named[i]]
+                piece = piece.take(pa.array(keep, pa.int64()))
+                own, at = slots(*utf8(piece.column("text")), bits)
                 others: list[list[bytes] | None] = []
-                for t in texts:
-                    made = [swap.of(t, by) for by in range(1, swaps + 1)] if swap.has(t) else []
-                    there = [slots(*utf8(pa.array([m])), bits)[0] for m in dict.fromkeys(made) if m != t]
+                for i in keep:
+                    made = [swap.of(texts[i], by) for by in range(1, swaps + 1)] if named[i] else []
+                    there = [slots(*utf8(pa.array([m])), bits)[0] for m in dict.fromkeys(made) if m != texts[i]]
                     others.append([s.tobytes() for s in there] or None)
-                keep = [i for i, f in enumerate(fit) if f or others[i]]
                 yield pa.RecordBatch.from_arrays([
-                    piece.column("doc_id").take(pa.array(keep, pa.int64())).cast(pa.int64()),
-                    piece.column("label").take(pa.array(keep, pa.int64())).cast(pa.int32()),
-                    pa.array([fit[i] for i in keep], pa.bool_()),
-                    pa.array([own[at[i]:at[i + 1]].tobytes() for i in keep], pa.binary()),
-                    pa.array([others[i] for i in keep], pa.list_(pa.binary()))], ["row", "label", "fit", "slots", "others"])
+                    piece.column("doc_id").cast(pa.int64()), piece.column("label").cast(pa.int32()), piece.column("fit"),
+                    pa.array([own[i:j].tobytes() for i, j in zip(at, at[1:])], pa.binary()),
+                    pa.array(others, pa.list_(pa.binary()))], ["row", "label", "fit", "slots", "others"])
     return run
 
 

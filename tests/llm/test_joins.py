@@ -209,4 +209,4 @@ def test_pipeline(spark):
 
 def test_registered():
     names = [n for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and "pipeline" in entry.queries()
