@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayline.llm import exact, mixing, packing, quality, shingles
-from assayline.llm.common import stored, table
+from assayline.llm.common import free, stored, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. It scores the rows in place, so rows
-    that share an id are judged each by its own text."""
+    that share an id are judged each by its own text. Null and empty texts are scored by the
+    bias; without labels all rows stay."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.accepted(docs, model)
 
@@ -31,15 +32,18 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at the target weights of their sources: every source is read once at least,
-    so none of its documents goes, and small ones up to MAX_EPOCHS times."""
-    taken = mixing.mixed(docs).groupBy("doc_id", "source").agg(F.max("epoch").alias("last"))
-    taken = taken.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "last")
-    return docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source"))) \
-        .withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last")))).select(*[docs[c] for c in docs.columns])
+    so none of its documents goes, and small ones up to MAX_EPOCHS times. Rows of a source
+    without a single token have no weight and stay as they are."""
+    last, own, source, epoch = free(docs, "_last", "_id", "_source", "_epoch")
+    taken = mixing.mixed(docs).groupBy(F.col("doc_id").alias(own), F.col("source").alias(source)).agg(F.max("epoch").alias(last))
+    same = docs["doc_id"].eqNullSafe(F.col(own)) & docs["source"].eqNullSafe(F.col(source))
+    times = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(last), F.lit(0)).cast("long"))
+    return docs.join(taken, same, "left").withColumn(epoch, F.explode(times)).select(*[docs[c] for c in docs.columns])
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents and their places in sequences of 1024 tokens."""
+    """Pieces of documents and their places in sequences of 1024 tokens. Null and empty texts are
+    one token, the end mark; repeated rows are packed as often as they occur."""
     return packing.pack(docs)
 
 
