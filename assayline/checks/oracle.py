@@ -569,10 +569,14 @@ _put("file_log", """SELECT 'customers' AS entity, 'csv' AS file_format,
 _step("dim_date", """SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(d AS DATE) AS full_date,
   CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month
 FROM generate_series(DATE '2000-01-01', DATE '2030-12-31', INTERVAL 1 DAY) AS g(d)""")
-_put("date_dim", """SELECT date_key, CAST(full_date AS VARCHAR) AS full_date, year, month,
+_put("date_dim", """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION ALL SELECT CAST(l_shipdate AS DATE) FROM lineitem),
+n AS (SELECT d, count(*) AS n FROM o WHERE d IS NOT NULL GROUP BY d),
+days AS (SELECT CAST(unnest(generate_series(min(d), max(d), INTERVAL 1 DAY)) AS DATE) AS full_date FROM n)
+SELECT CAST(strftime(full_date, '%Y%m%d') AS INTEGER) AS date_key, CAST(full_date AS VARCHAR) AS full_date,
+  CAST(year(full_date) AS INTEGER) AS year, CAST(month(full_date) AS INTEGER) AS month,
   CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(day(full_date) AS INTEGER) AS day,
-  dayname(full_date) AS day_of_week, isodow(full_date) > 5 AS is_weekend FROM dim_date""",
-     "dim_date")
+  dayname(full_date) AS day_of_week, isodow(full_date) > 5 AS is_weekend, coalesce(n, 0) AS occurrences
+FROM days LEFT JOIN n ON d = full_date""")
 _put("dim_customer", """SELECT customer_id, state, city, region, marital_status, education, job,
   CAST(balance AS DOUBLE) AS balance, balance_negative_flag, has_home_insurance, has_car_loan
 FROM silver_customers""", "silver_customers")
@@ -814,20 +818,19 @@ SELECT incident_severity, avg_days_to_process, max_days_to_process, total_claims
 
 # --- anomalies --------------------------------------------------------------
 def _at_rank(column: str, share: str) -> str:
-    return f"""(SELECT CAST(min(x) AS DOUBLE) FROM (
-    SELECT {column} AS x, ROW_NUMBER() OVER (ORDER BY {column}) AS r, count(*) OVER () AS n
-    FROM silver_claims WHERE {column} IS NOT NULL) WHERE r >= n * CAST({share} AS DECIMAL(4,2)))"""
+    return f"CAST(quantile_disc({column}, {share}) AS DOUBLE)"
 
 
 _step("limits", f"""SELECT {_at_rank('total_claim_amount', '0.95')} AS p95_amount,
   {_at_rank('bodily_injuries', '0.95')} AS p95_injuries,
-  {_at_rank('number_of_vehicles_involved', '0.95')} AS p95_vehicles""", "silver_claims")
+  {_at_rank('number_of_vehicles_involved', '0.95')} AS p95_vehicles FROM silver_claims""", "silver_claims")
 _put("anomaly_population", f"""
-SELECT p95_amount, {_at_rank('total_claim_amount', '0.99')} AS p99_amount,
-  {_at_rank('witnesses', '0.05')} AS p5_witnesses, p95_injuries, p95_vehicles,
+SELECT {_at_rank('total_claim_amount', '0.95')} AS p95_amount, {_at_rank('total_claim_amount', '0.99')} AS p99_amount,
+  {_at_rank('witnesses', '0.05')} AS p5_witnesses, {_at_rank('bodily_injuries', '0.95')} AS p95_injuries,
+  {_at_rank('number_of_vehicles_involved', '0.95')} AS p95_vehicles,
   round(CAST(avg(total_claim_amount) AS DOUBLE), 4) AS mean_amount,
   round(stddev_samp(CAST(total_claim_amount AS DOUBLE)), 4) AS std_amount
-FROM silver_claims, limits GROUP BY ALL""", "silver_claims", "limits")
+FROM silver_claims""", "silver_claims")
 
 
 def _scored(days: str) -> str:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from assayline.sources.files import drop_ghost_rows
+from assayline.sources.tables import spread
 
 _CUSTOMER = """
   CASE WHEN c_nationkey IN (0,1) THEN 'W' WHEN c_nationkey IN (2,3) THEN 'West'
@@ -231,6 +232,7 @@ FROM l
 """
 
 RAW = {"customers": CUSTOMERS, "cars": CARS, "policy": POLICY, "sales": SALES, "claims": CLAIMS}
+LARGE = {"lineitem", "orders", "events"}
 WITH_GHOSTS = {"sales"}  # entities whose statement makes rows without any value
 TABLES = ("customer", "part", "orders", "events", "lineitem", "nation", "region", "supplier")
 
@@ -239,5 +241,7 @@ def bronze(spark: SparkSession, folder: str, entity: str) -> DataFrame:
     """Raw records of one entity, without ghost rows."""
     sql = RAW[entity].replace("{q}", "`")
     tables = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TABLES if f"{{{t}}}" in sql}
+    # shaping and cleaning take far longer than reading, so the large tables are dealt out first
+    tables = {t: spread(df) if t in LARGE else df for t, df in tables.items()}
     df = spark.sql(sql, **tables)
     return drop_ghost_rows(df) if entity in WITH_GHOSTS else df

@@ -65,11 +65,11 @@ def split_latest(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 
 def keep_latest(df: DataFrame, key: str, order: Sequence[Column] | None = None,
-                keep_null_keys: bool = False) -> DataFrame:
+                keep_null_keys: bool = True) -> DataFrame:
     """Survivors only. The rank limit prunes each task to one row per key before the
-    shuffle, so a hot key sends one row per task. Rows without a key are left out, unless
-    `keep_null_keys`: then all of them stay, as none is a duplicate of another, and each is
-    a group of its own, which also spreads them over the tasks."""
+    shuffle, so a hot key sends one row per task. Rows without a key all stay, as none is a
+    duplicate of another, and each is a group of its own, which also spreads them over the
+    tasks; without `keep_null_keys` they are left out."""
     if not keep_null_keys:
         df = df.filter(F.col(key).isNotNull())
     w = Window.partitionBy(key, "_alone").orderBy(*(order or newest_first(df, key)))

@@ -13,46 +13,49 @@ HOT_SHARE = 1000
 
 
 def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than 1/share of the rows: fewer than `share` keys, whatever
-    the size of the data. Counted map-side first, so the hot key itself is no burden."""
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))
-    return counts.filter(F.col("_n") * share > total.scalar()).select(key)
+    """Keys that hold more than 1/share of the rows: about `share` keys at most, whatever
+    the size of the data. One pass with a sketch of frequent items, which tasks merge, so
+    neither all keys nor a hot one are a burden. Its counts may be a little too high."""
+    found = df.filter(F.col(key).isNotNull()).agg(
+        F.call_function("approx_top_k", F.col(key), F.lit(share), F.lit(10 * share)).alias("top"), F.count(F.lit(1)).alias("n"))
+    items = found.select(F.explode("top").alias("e"), "n").filter(F.col("e.count") * share > F.col("n"))
+    return items.select(F.col("e.item").alias(key))
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           share: int = HOT_SHARE, spread_by: Sequence[str] | None = None) -> DataFrame:
+           share: int = HOT_SHARE, spread_by: Sequence[str] | None = None,
+           split_hot: bool = False) -> DataFrame:
     """Fact rows with the columns of the dimension, NULL where the key is unknown.
 
-    Rows of hot keys take their values from a broadcast of fewer than `share`
-    dimension rows. All other rows join by a shuffle (or by a broadcast that Spark
-    chooses for a small dimension). In that join the hot rows and the rows without
-    a key carry a salt that matches nothing and spreads them over all tasks. The salt
-    comes from the input partition and the columns `spread_by`, by default the first,
-    which should tell rows apart; it is the same when a task is retried.
+    Fact and dimension are read once. Spark sends out a dimension it knows to be small
+    and joins a larger one by a shuffle, in which it splits the rows of a hot key at run
+    time (adaptive skew join), as the dimension has one row for it. Rows without a key
+    would all be dealt to one task; they join as a number that spreads them and matches
+    nothing. The number comes from the input partition and the columns `spread_by`, by
+    default the first, which should tell rows apart; it is the same when a task is retried.
+
+    With `split_hot` hot keys are found beforehand, by a pass over the keys of the fact, and
+    dealt to all tasks in the plan itself: for sessions without adaptive execution, and for
+    joins whose partitioning a later step relies on, which it leaves alone.
     """
     values = [c for c in dim.columns if c != dim_key]
-    hot = F.broadcast(hot_keys(fact, fact_key, share).withColumnRenamed(fact_key, "_hot_key"))
-    # the dimension is filtered in place; what remains is as small as the hot keys
-    hot_rows = F.broadcast(dim.join(hot, F.col(dim_key) == F.col("_hot_key"), "left_semi"))
-    hot_dim = F.broadcast(
-        hot.join(hot_rows, F.col("_hot_key") == F.col(dim_key), "left")
-        .select("_hot_key", *[F.col(c).alias(f"_hot_{c}") for c in values]))
-    cold_dim = dim.select(F.col(dim_key).alias("_dim_key"), F.lit(0).alias("_dim_salt"),
-                          *[F.col(c).alias(f"_cold_{c}") for c in values])
     salts = salt_count(fact.sparkSession)
-    spread = 1 + F.pmod(F.xxhash64(F.spark_partition_id(), *(spread_by or fact.columns[:1])),
-                        F.lit(salts))
-    set_apart = F.col("_hot_key").isNotNull() | F.col(fact_key).isNull()
-    return (
-        fact.withColumn("_spread", spread)
-        .join(hot_dim, F.col(fact_key) == F.col("_hot_key"), "left")
-        .withColumn("_salt", F.when(set_apart, F.col("_spread")).otherwise(F.lit(0)).cast("int"))
-        # a NULL would be hashed to one task whatever the salt, so it joins as its salt
-        .withColumn("_join_key", F.coalesce(
-            F.col(fact_key), F.col("_spread").cast(fact.schema[fact_key].dataType)))
-        .join(cold_dim, (F.col("_join_key") == F.col("_dim_key"))
-              & (F.col("_salt") == F.col("_dim_salt")), "left")
-        .select(*[F.col(c) for c in fact.columns],
-                *[F.coalesce(F.col(f"_hot_{c}"), F.col(f"_cold_{c}")).alias(c) for c in values])
-    )
+    kind = fact.schema[fact_key].dataType
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *(spread_by or fact.columns[:1])), F.lit(salts))
+    hot = [r[0] for r in hot_keys(fact, fact_key, share).collect()] if split_hot else []
+
+    def is_hot(c: str):
+        return F.col(c).isin(hot) if hot else F.lit(False)
+
+    left = fact.withColumn("_spread", spread).withColumns({
+        "_join_key": F.coalesce(F.col(fact_key), F.col("_spread").cast(kind)), "_known": F.col(fact_key).isNotNull()})
+    right = dim.select(F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(f"_dim_{i}") for i, c in enumerate(values)])
+    match = (F.col("_join_key") == F.col("_dim_key")) & F.col("_known")
+    if hot:  # hot rows of the dimension once for every salt
+        left = left.withColumn("_salt", F.when(is_hot(fact_key), F.col("_spread")).otherwise(F.lit(0).cast("long")))
+        right = right.withColumn("_dim_salt", F.explode(F.when(
+            is_hot("_dim_key"), F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+            .otherwise(F.array(F.lit(0).cast("long")))))
+        match = match & (F.col("_salt") == F.col("_dim_salt"))
+    return left.join(right, match, "left").select(
+        *[F.col(c) for c in fact.columns], *[F.col(f"_dim_{i}").alias(c) for i, c in enumerate(values)])

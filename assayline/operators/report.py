@@ -62,12 +62,17 @@ def top(df: DataFrame, by: str, tie: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(F.col(by).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie]).limit(n)
 
 
-def duplicate_count(df: DataFrame, group: str, key: str) -> DataFrame:
-    """Distinct keys, keys and their difference per group."""
-    return df.groupBy(group).agg(
-        F.count_distinct(key).alias("unique_customers"),
-        F.count(key).alias("total_records"),
-        (F.count(key) - F.count_distinct(key)).alias("duplicate_count"))
+def duplicate_count(df: DataFrame, group: str, key: str, distinct: str = "keys", total: str = "rows",
+                    surplus: str = "duplicates") -> DataFrame:
+    """Per group the number of different keys, of rows with a key, and of rows beyond one per
+    key. Rows are counted by key first, so a key with many of them is one row by then."""
+    per_key = df.filter(F.col(key).isNotNull()).groupBy(group, key).agg(F.count(F.lit(1)).alias("_n"))
+    # a group whose rows all lack a key still has its row, with zeros
+    groups = df.groupBy(group).agg(F.count(key).alias("_all"))
+    different = per_key.groupBy(F.col(group).alias("_group")).agg(F.count(F.lit(1)).alias("_keys"))
+    keys = F.coalesce(F.col("_keys"), F.lit(0))
+    return groups.join(different, F.col(group).eqNullSafe(F.col("_group")), "left").select(
+        group, keys.alias(distinct), F.col("_all").alias(total), (F.col("_all") - keys).alias(surplus))
 
 
 def severity_band(c: str) -> Column:

@@ -6,15 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from assayline.contracts import TOP_K
+from assayline.session import salt_count
 
-QUERIES_PER_PASS = 1024  # vectors held by every task at a time
+QUERIES_PER_PASS = 1024  # query vectors of a block
+DOCS_PER_BLOCK = 4096
+HELD_QUERIES = 1 << 16  # queries whose best rows a task holds before it passes them on
 RANK_DECIMALS = 9  # scores closer than this are a tie, which the id decides
 
 
@@ -24,34 +26,27 @@ def cosine_top_k(queries: DataFrame, documents: DataFrame, k: int = TOP_K,
                  per_pass: int = QUERIES_PER_PASS) -> DataFrame:
     """(query_id, doc_id, confidence, position) of the k nearest documents.
 
-    Each task multiplies its batches of documents with the query matrix and passes
-    on k rows per query and batch; the ranks are then settled in two rounds, first
-    within a task group, then per query. Query vectors are counted before they are
-    sent out: more than `per_pass` are split by hash over several passes, so a task
-    never holds more than a known number. All vectors have one length. A vector of
-    zeros has similarity 0 with everything.
+    Queries and documents are laid out in blocks, one row each, on the executors; neither
+    is counted or collected. A document block goes to one salt and the query blocks to
+    all, so every task multiplies its share of the documents with all queries, block by
+    block, keeps k rows per query, and the ranks are settled in two rounds: within a task
+    group, then per query. Query blocks are sent to all tasks instead if Spark knows them
+    to be small.
+
+    A vector that is null or has a null, NaN or infinite element is no query and no
+    document; vectors of different lengths have nothing in common; a vector of zeros has
+    similarity 0 with everything.
     """
-    queries = queries.select(F.col(query_id).alias("q"),
-                             F.col(query_vector).cast("array<double>").alias("x"))
-    count = queries.count()
-    passes = 1 if count <= per_pass else 2 * -(-count // per_pass)
-    qtype = queries.schema["q"].dataType
-    parts = []
-    for i in range(passes):
-        chunk = queries if passes == 1 else queries.filter(
-            F.pmod(F.xxhash64("q"), F.lit(passes)) == i)
-        rows = chunk.orderBy("q").collect()
-        # a hash may fill one pass beyond the mark; the surplus gets a pass of its own
-        for start in range(0, len(rows), per_pass):
-            parts.append(_candidates(rows[start:start + per_pass], qtype, documents, doc_id,
-                                     doc_vector, k))
-    if not parts:
-        return documents.sparkSession.createDataFrame([], T.StructType([
-            T.StructField(query_id, qtype), T.StructField(doc_id, documents.schema[doc_id].dataType),
-            T.StructField("confidence", T.DoubleType()), T.StructField("position", T.IntegerType())]))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    salts = salt_count(documents.sparkSession)
+    q = _blocks(queries, query_id, query_vector, per_pass, "q")
+    d = _blocks(documents, doc_id, doc_vector, DOCS_PER_BLOCK, "d")
+    q = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    d = d.withColumn("salt", F.pmod(F.xxhash64("d_data"), F.lit(salts)).cast("int"))
+    pairs = d.join(q, ["salt", "width"]).select("width", "q_ids", "q_data", "d_ids", "d_data")
+    schema = T.StructType([T.StructField("q", queries.schema[query_id].dataType),
+                           T.StructField("d", documents.schema[doc_id].dataType),
+                           T.StructField("confidence", T.DoubleType())])
+    found = pairs.mapInArrow(_best(k, schema), schema)
     order = [F.col("confidence").desc(), F.col("d").asc()]
     local = Window.partitionBy("q", "task").orderBy(*order)
     final = Window.partitionBy("q").orderBy(*order)
@@ -62,36 +57,70 @@ def cosine_top_k(queries: DataFrame, documents: DataFrame, k: int = TOP_K,
         .select(F.col("q").alias(query_id), F.col("d").alias(doc_id), "confidence", "position"))
 
 
-def _candidates(rows, qtype, documents: DataFrame, doc_id: str, doc_vector: str,
-                k: int) -> DataFrame:
-    ids = pa.array([r["q"] for r in rows], to_arrow_type(qtype))
-    matrix = _unit(np.array([r["x"] for r in rows], dtype=np.float64))
-    docs = documents.select(F.col(doc_id).alias("d"),
-                            F.col(doc_vector).cast("array<double>").alias("x"))
-    # A vector with a missing or non-finite element has no cosine: it is no candidate.
-    docs = docs.filter(F.col("x").isNotNull() & F.forall("x", lambda e: e.isNotNull()
-                       & ~F.isnan(e) & (F.abs(e) != float("inf"))))
-    schema = T.StructType([T.StructField("q", qtype), docs.schema["d"],
-                           T.StructField("confidence", T.DoubleType())])
+def sound(x: str | Column) -> Column:
+    """Whether a vector has a cosine: not null, and no element null, NaN or infinite."""
+    x = F.col(x) if isinstance(x, str) else x
+    return x.isNotNull() & (F.size(x) > 0) & F.forall(
+        x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
+
+
+def _blocks(df: DataFrame, id_col: str, vector: str, size: int, name: str) -> DataFrame:
+    """Rows (width, ids, data): at most `size` unit vectors of one length, as bytes."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("x")).filter(sound("x"))
+    kind = df.schema[id_col].dataType
+    schema = T.StructType([T.StructField("width", T.IntegerType()), T.StructField(f"{name}_ids", T.ArrayType(kind)),
+                           T.StructField(f"{name}_data", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            widths = np.array([len(v) for v in batch.column(1)], np.int32)
+            for width in np.unique(widths):
+                own = np.flatnonzero(widths == width)
+                for at in range(0, len(own), size):
+                    part = batch.take(pa.array(own[at:at + size]))
+                    flat = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                    ids = pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([width], pa.int32()), ids, pa.array([_unit(flat).tobytes()], pa.binary())],
+                        names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _best(k: int, schema: T.StructType):
+    """Of pairs of blocks, the k best documents of each query among those a task has seen."""
+    q_type, d_type = (to_arrow_type(schema[c].dataType) for c in ("q", "d"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows == 0:
-                continue
-            if set(pc.list_value_length(b.column(1)).unique().to_pylist()) != {matrix.shape[1]}:
-                raise ValueError(f"{doc_vector}: vectors of other lengths than {matrix.shape[1]}")
-            flat = b.column(1).flatten().to_numpy(zero_copy_only=False)
-            scores = np.round(_unit(flat.reshape(b.num_rows, -1)) @ matrix.T, RANK_DECIMALS)
-            doc = b.column(0)
-            names = doc.to_numpy(zero_copy_only=False)
-            picked = [_top(scores[:, j], names, k) for j in range(scores.shape[1])]
-            picked_q = np.repeat(np.arange(len(picked)), [len(p) for p in picked])
-            picked_d = np.concatenate(picked)
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(picked_q)), doc.take(pa.array(picked_d)),
-                 pa.array(scores[picked_d, picked_q])], names=["q", "d", "confidence"])
-
-    return docs.mapInArrow(run, schema)
+        held: dict = {}
+
+        def out() -> pa.RecordBatch:
+            q = [i for i, (_, names) in held.items() for _ in range(len(names))]
+            names = [n for _, own in held.values() for n in own.tolist()]
+            scores = np.concatenate([s for s, _ in held.values()]) if held else np.empty(0)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(q, q_type), pa.array(names, d_type), pa.array(scores)],
+                                              names=["q", "d", "confidence"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                width, q_ids, q_data, d_ids, d_data = (batch.column(c)[i].as_py() for c in range(5))
+                q_rows, d_rows = (np.frombuffer(x).reshape(-1, width) for x in (q_data, d_data))
+                scores = np.round(d_rows @ q_rows.T, RANK_DECIMALS)
+                names = np.array(d_ids, object if isinstance(d_ids[0], str) else None)
+                for j, query in enumerate(q_ids):
+                    top = _top(scores[:, j], names, k)
+                    score, name = scores[top, j], names[top]
+                    if query in held:
+                        score, name = np.concatenate([held[query][0], score]), np.concatenate([held[query][1], name])
+                        top = _top(score, name, k)
+                        score, name = score[top], name[top]
+                    held[query] = score, name
+                if len(held) > HELD_QUERIES:
+                    yield out()
+        yield out()
+
+    return run
 
 
 def _top(scores: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:

@@ -11,8 +11,8 @@ from assayline import contracts as K
 from assayline.functions import text as X
 from assayline.operators.enrich import STUB_NAME, first_line, with_text
 from assayline.operators.similar import cosine_top_k
+from assayline.session import scratch
 
-SMALL_HITS = 100_000  # rows up to which hits are sent to the documents
 NOTHING_FOUND = "No relevant policies found for this query."
 
 
@@ -29,12 +29,12 @@ def retrieve(questions: DataFrame, docs: DataFrame, k: int = K.TOP_K) -> DataFra
     """Hits with the text of their document.
 
     `questions` has query_id, question and vector; `docs` has doc_id, text and
-    vector. There are at most k hits per question, so the documents are moved only
-    if the questions are too many for the hits to be sent to them.
+    vector. The hits are stored, at most k per question, so that Spark knows their
+    size: it sends few of them to the documents, whose text then stays where it is.
     """
-    hits = cosine_top_k(questions, docs, k)
-    if questions.count() * k <= SMALL_HITS:
-        hits = F.broadcast(hits)
+    path = scratch(docs.sparkSession, "hits")
+    cosine_top_k(questions, docs, k).write.parquet(path)
+    hits = docs.sparkSession.read.parquet(path)
     return docs.select("doc_id", "text").join(hits, "doc_id").select(
         "query_id", "position", "doc_id", "confidence", "text")
 

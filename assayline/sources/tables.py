@@ -37,5 +37,13 @@ def _write(df, name, mode, comment, partition_by, rows_per_file) -> None:
         df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{text}'")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The frame over at least half as many tasks as there are cores. A file of one row group
+    is read by one task, whatever the cluster; its rows are then dealt out before costly steps.
+    A table of many row groups is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
+
+
 def tpc(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

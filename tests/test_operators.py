@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 from datetime import datetime
@@ -49,7 +50,9 @@ def test_latest_against_brute_force(spark):
     kept, replaced = latest.split_latest(df, "k")
     assert kept.count() + replaced.count() == len(rows)
     assert {r[0] for r in replaced.select("quarantine_reason").distinct().collect()} == {"duplicate k"}
-    assert Counter(tuple(r) for r in latest.keep_latest(df, "k").collect()) == Counter(best.values())
+    assert Counter(tuple(r) for r in latest.keep_latest(df, "k").collect()) == want
+    only = latest.keep_latest(df, "k", keep_null_keys=False)
+    assert Counter(tuple(r) for r in only.collect()) == Counter(best.values())
 
 
 def test_hot_key_is_spread(spark):
@@ -68,7 +71,8 @@ def test_survivors_are_pruned_before_the_shuffle(spark):
 
 @pytest.mark.parametrize("broadcast", ["-1", "10485760"])
 @pytest.mark.parametrize("kind", ["int", "string"])
-def test_lookup_equals_left_join(spark, broadcast, kind):
+@pytest.mark.parametrize("split", [False, True])
+def test_lookup_equals_left_join(spark, broadcast, kind, split):
     keys = [5] * 700 + [None] * 500 + [999] * 400 + list(range(300)) * 2
     fact = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k int")
     dim = spark.createDataFrame([(k, f"d{k}", None if k % 2 else k) for k in range(250)],
@@ -78,7 +82,7 @@ def test_lookup_equals_left_join(spark, broadcast, kind):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        got = lookup.lookup(fact, dim, "k", "dk", share=50)
+        got = lookup.lookup(fact, dim, "k", "dk", share=50, split_hot=split)
         want = fact.join(dim, F.col("k") == F.col("dk"), "left").select("i", "k", "name", "n")
         assert got.columns == want.columns
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
@@ -86,6 +90,37 @@ def test_lookup_equals_left_join(spark, broadcast, kind):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_lookup_plans_each_side_once(spark):
+    fact = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 50).alias("k"))
+    dim = spark.range(50).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("n"))
+    plan = lookup.lookup(fact, dim, "k", "dk")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 2
+    # rows without a key go to as many tasks as the salts allow
+    empty = fact.withColumn("k", F.lit(None).cast("bigint"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = lookup.lookup(empty, dim, "k", "dk").withColumn("t", F.spark_partition_id()).groupBy("t").count().collect()
+        assert len(got) > 1 and sum(r["count"] for r in got) == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_duplicate_count(spark):
+    rows = [("a", 1), ("a", 1), ("a", 2), ("a", None), (None, 3), (None, 3), ("b", None)]
+    got = report.duplicate_count(spark.createDataFrame(rows, "g string, k int"), "g", "k").collect()
+    assert sorted(map(tuple, got), key=repr) == [("a", 2, 3, 1), ("b", 0, 0, 0), (None, 1, 2, 1)]
+
+
+def test_spread(spark):
+    from assayline.sources.tables import spread
+    one, many = spark.range(100).coalesce(1), spark.range(100).repartition(64)
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many).rdd.getNumPartitions() == 64 and spread(one).count() == 100
+
+
 def test_hot_keys_are_few(spark):
     fact = spark.createDataFrame([(k,) for k in [1] * 50 + list(range(100, 150))], "k int")
     assert [r[0] for r in lookup.hot_keys(fact, "k", share=10).collect()] == [1]
@@ -216,3 +251,32 @@ def test_damaged_vectors_displace_no_documents(spark):
     q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, v array<double>")
     got = cosine_top_k(q, d, 4, query_id="query_id", query_vector="v", doc_id="doc_id", doc_vector="v").collect()
     assert sorted(r.doc_id for r in got) == [0, 1, 2, 3]
+
+
+def test_vectors_of_other_lengths_are_no_candidates(spark):
+    docs = [(k, [1.0, float(k)]) for k in range(3)] + [(20, [1.0]), (21, [1.0, 0.0, 0.0]), (22, []), (23, None)]
+    d = spark.createDataFrame(docs, "doc_id int, vector array<double>").repartition(3)
+    q = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [2.0]), ("c", None), ("d", [float("nan")])], "query_id string, vector array<double>")
+    got = {(r.query_id, r.doc_id) for r in cosine_top_k(q, d, 5).collect()}
+    assert got == {("a", 0), ("a", 1), ("a", 2), ("b", 20)}
+
+
+def test_more_queries_than_a_block_or_a_task_holds(spark, monkeypatch):
+    from assayline.operators import similar
+    monkeypatch.setattr(similar, "HELD_QUERIES", 7)
+    rng = random.Random(3)
+    docs = [(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(150)]
+    queries = [(k, [rng.gauss(0, 1) for _ in range(8)]) for k in range(60)]
+    d = spark.createDataFrame(docs, "doc_id int, vector array<double>").repartition(5)
+    q = spark.createDataFrame(queries, "query_id int, vector array<double>").repartition(4)
+    plan = cosine_top_k(q, d, 4, per_pass=4)
+
+    def cosine(a, b):
+        return round(sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a) * sum(y * y for y in b)), 9)
+    want = {}
+    for i, a in queries:
+        best = sorted(((-cosine(a, b), j) for j, b in docs))[:4]
+        want.update({(i, n + 1): (j, -s) for n, (s, j) in enumerate(best)})
+    got = {(r.query_id, r.position): (r.doc_id, r.confidence) for r in plan.collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-8 for k in want)
