@@ -982,6 +982,9 @@ FROM events GROUP BY event_type""")
 _put("stream_clean", """SELECT DISTINCT policy_number, customer_id, car_id FROM clean_policy
 WHERE policy_number IS NOT NULL AND customer_id IS NOT NULL AND car_id IS NOT NULL""",
      "clean_policy")
+_put("stream_newest", ORACLE["silver_policy"])
+_put("append_once", """SELECT CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS BIGINT) AS version, o_orderstatus,
+  count(*) AS n, count(DISTINCT o_orderkey) AS orders, CAST(sum(o_custkey) AS BIGINT) AS customers FROM orders GROUP BY ALL""")
 _put("stream_growing", """SELECT 'Insurance ' || i AS _source_region, CASE WHEN i <> 1 THEN NULLIF(fuel, '') END AS fuel,
   CASE WHEN i = 1 THEN NULLIF(model, '') END AS model, count(*) AS n, count(NULLIF(car_id, '')) AS n_car_id,
   count(NULLIF(km_driven, '')) FILTER (i = 1) AS n_km_driven, count(NULLIF(mileage, '')) FILTER (i = 2) AS n_mileage,

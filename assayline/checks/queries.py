@@ -25,6 +25,7 @@ from assayline.plans import anomaly, gold, kpi, quality, retrieval
 from assayline.plans import silver as S
 from assayline.session import scratch
 from assayline.sources import files as SRC
+from assayline.sources import tables
 from assayline.sources.tables import tpc
 from assayline.streaming import jobs
 
@@ -800,8 +801,8 @@ def stream_counts(spark, folder):
     events = jobs.stream_of(spark, folder, "events*.parquet").select(
         F.concat(F.lit("/raw/"), F.col("event_type"), F.lit(".csv")).alias("_source_file"),
         F.lit("").alias("_source_region"), F.col("ts").alias("_ingest_time"))
-    jobs.run_complete(jobs.file_counts(events, "events"), out, mark)
-    return portable(spark.read.parquet(out))
+    jobs.run_changes(jobs.file_counts(events, "events"), out, mark)
+    return portable(tables.read_newest(spark, out, ["_source_file"]))
 
 
 @query
@@ -813,6 +814,39 @@ def stream_clean(spark, folder):
     return spark.read.parquet(out).select("policy_number", "customer_id", "car_id")
 
 
+def _policy_halves(spark, folder) -> list[DataFrame]:
+    """Raw policies dealt so that rows of one key come in both halves."""
+    df = bronze(spark, folder, "policy")
+    odd = F.pmod(F.xxhash64(*df.columns), F.lit(2)) == 0
+    return [df.filter(odd), df.filter(~odd)]
+
+
+@query
+def stream_newest(spark, folder):
+    """Raw policies in two micro-batches: the stream keeps the newest row of each key, as the
+    batch does, so that rules give the silver table in all columns."""
+    src, out, mark = (scratch(spark, n) for n in ("newest-src", "newest-out", "newest-mark"))
+    entity = S.ENTITIES["policy"]
+    for half in _policy_halves(spark, folder):
+        half.write.mode("append").parquet(src)
+        jobs.run_changes(jobs.newest(entity.clean(jobs.stream_of(spark, src)), entity.key), out, mark)
+    kept = tables.read_newest(spark, out, [entity.key])
+    good = kept.filter(R.first_reason(entity.rules()).isNull())
+    return portable(good.drop("_ingest_time"))
+
+
+@query
+def append_once(spark, folder):
+    """Orders appended in runs, one of them twice over, and a part whose run never ended."""
+    out = scratch(spark, "append-once")
+    orders = tpc(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for run in ("F", "O", "F", "P", "O"):
+        tables.append_once(orders.filter(F.col("o_orderstatus") == run), out, f"status {run}")
+    orders.limit(10).write.parquet(f"{out}/parts/run=unfinished")
+    return tables.read_committed(spark, out, "version").groupBy("version", "o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_orderkey").alias("orders"), F.sum("o_custkey").alias("customers"))
+
+
 @query
 def stream_growing(spark, folder):
     """Three micro-batches, each with columns the ones before had not. The reader takes the

@@ -6,13 +6,16 @@ Output, checkpoint and source folders must be shared by all executors.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from assayline.operators.latest import keep_any, keep_any_within
 from assayline.operators.rules import expect
 from assayline.plans.silver import ENTITIES, EXPECTATIONS
-from assayline.sources import schema_log
+from assayline.sources import schema_log, tables
 from assayline.sources.files import Source, escaped, file_log_of, ingest
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
@@ -99,11 +102,39 @@ def run(df: DataFrame, out: str, checkpoint: str) -> None:
     q.awaitTermination()
 
 
-def run_complete(df: DataFrame, out: str, checkpoint: str) -> None:
-    """For aggregates: each micro-batch replaces the stored result as a whole."""
+def run_changes(df: DataFrame, out: str, checkpoint: str, fold_every: int = 50,
+                keys: Sequence[str] = ()) -> None:
+    """For aggregates: each micro-batch adds the rows of the keys it changed as a run of its
+    own (`tables.read_newest` gives the whole result). What a reader finds is always whole,
+    a repeated micro-batch leaves nothing twice, and no more is written than has changed.
+    With `keys`, every `fold_every` micro-batches the runs are folded into one."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        tables.append_once(batch, out, f"batch-{batch_id}", batch_id)
+        if keys and batch_id % fold_every == fold_every - 1:
+            tables.fold_newest(batch.sparkSession, out, keys)
 
-    q = (df.writeStream.foreachBatch(write).outputMode("complete")
+    q = (df.writeStream.foreachBatch(write).outputMode("update")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def newest(stream: DataFrame, key: str, time: str = "_ingest_time", source: str = "_source_file") -> DataFrame:
+    """Stream form of `latest.keep_latest`: the state holds the newest row of each key, in the
+    same total order as in a batch, and gives it out again whenever it is replaced. So the
+    stored result does not depend on the order in which rows arrive. Rows without a key are
+    left out, as no state could tell them apart; write them with `run`.
+
+    `run_changes` stores the result; a row is (key, the other columns).
+    """
+    rest = [c for c in stream.columns if c != key]
+    values = [c for c in rest if c not in (time, source)]
+    order = []
+    if time in rest:
+        order += [F.col(time).isNull().alias("t0"), (-F.unix_micros(F.col(time).cast("timestamp"))).alias("t1")]
+    if source in rest:
+        # letters turned round, with an end behind all of them: the greatest text comes first
+        turned = F.concat(F.translate(F.hex(source), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("~"))
+        order += [F.col(source).isNull().alias("s0"), turned.alias("s1")]
+    best = F.min(F.struct(*order, *values, *[c for c in (time, source) if c in rest]))
+    return (stream.filter(F.col(key).isNotNull()).groupBy(key).agg(best.alias("_best"))
+            .select(key, *[F.col(f"_best.`{c}`").alias(c) for c in rest]))
