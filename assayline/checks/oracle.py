@@ -288,6 +288,20 @@ FROM (SELECT *, CASE WHEN {_key} IS NOT NULL AND nth > 1 THEN 'duplicate {_key}'
     _put(f"quarantine_{_e}", f"""SELECT {_shown}, quarantine_reason, quarantine_type
 FROM tagged_{_e} WHERE quarantine_reason IS NOT NULL""", f"tagged_{_e}")
 
+# the second form of the sales rules, on the same survivors
+_put("sold_sales_log", """SELECT 'sales' AS entity, 'silver.quarantine_sales' AS quarantine_table, quarantine_reason,
+  CASE WHEN quarantine_reason = 'duplicate sales_id' THEN 'drop' ELSE 'quarantine' END AS quarantine_type,
+  count(*) AS failed_record_count
+FROM (SELECT CASE WHEN quarantine_reason = 'duplicate sales_id' THEN quarantine_reason
+    WHEN sales_id IS NULL THEN 'missing sales_id — blank or partial row'
+    WHEN ad_placed_on IS NULL THEN 'missing ad placement date'
+    WHEN sold_on IS NULL THEN 'missing sold date'
+    WHEN selling_price IS NULL OR selling_price <= 0 THEN 'invalid selling price — zero or negative'
+    WHEN region IS NULL OR region NOT IN ('east', 'west', 'central', 'south', 'north') THEN 'invalid or missing region'
+    WHEN state IS NULL OR trim(state) = '' THEN 'missing or blank state'
+    WHEN car_id IS NULL THEN 'missing car_id' END AS quarantine_reason FROM tagged_sales)
+WHERE quarantine_reason IS NOT NULL GROUP BY ALL""", "tagged_sales")
+
 _ENTITIES = tuple(_COLUMNS)
 
 
@@ -561,6 +575,15 @@ _put("rescued_rows", """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey,
   CASE c_custkey % 5 WHEN 1 THEN 'a,' || c_name WHEN 3 THEN NULL ELSE c_name END AS c_name,
   CASE c_custkey % 5 WHEN 0 THEN '{"_c2":"more"}' WHEN 1 THEN '{"_c3":"x \\"y\\" z"}'
     WHEN 2 THEN '{"_corrupt_record":"' || c_custkey || ',\\"' || c_name || '"}' END AS _rescued_data FROM customer""")
+_put("provenance", """SELECT 'Insurance ' || CAST(shape AS VARCHAR) AS folder, 'Insurance ' || CAST(shape AS VARCHAR) AS _source_region,
+  true AS read_now, count(*) AS n FROM customer_files GROUP BY ALL""", "customer_files")
+_put("sink_overwrite", "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(3 AS INTEGER) AS columns FROM orders")
+_put("sink_append", """SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS o_orderstatus,
+  true AS added_now FROM orders""")
+_put("stored_counts", """SELECT 'stored_orders' AS table_name, true AS found, count(*) AS row_count FROM orders
+UNION ALL SELECT 'stored_lineitem', true, count(*) FROM lineitem UNION ALL SELECT 'stored_customer', true, count(*) FROM customer
+UNION ALL SELECT 'stored_absent', false, NULL""")
+_put("short_ids", "SELECT o_orderstatus, count(*) AS n, true AS well_formed, true AS different FROM orders GROUP BY ALL")
 _put("file_log", """SELECT 'customers' AS entity, 'csv' AS file_format,
   'Insurance ' || CAST(shape AS VARCHAR) AS _source_region, 'processed' AS status,
   count(*) AS row_count FROM customer_files GROUP BY ALL""", "customer_files")
@@ -607,6 +630,7 @@ SELECT *, CAST(strftime(ad_placed_on, '%Y%m%d') AS INTEGER) AS ad_date_key,
 _put("fact_sales", "SELECT " + _show(
     "sales_id car_id ad_date_key sold_date_key selling_price:n days_to_sell:i is_sold sale_status "
     "region state city seller_type owner _source_file") + " FROM listings", "listings")
+_put("fact_sales_numbers", "SELECT sales_id, car_id, CAST(is_sold AS INTEGER) AS is_sold, sale_status FROM listings", "listings")
 _step("rejections", """
 SELECT region, d.year, d.month, count(*) AS total_claims,
   CAST(sum(CAST(is_rejected AS INTEGER)) AS BIGINT) AS rejected_claims,
@@ -951,6 +975,9 @@ _put("retrieval_stats", "SELECT * FROM found", "found")
 _put("retrieval_history", """SELECT query_id, question, split_part(context, chr(10), 1) AS answer,
   source_policies, CAST(chunks_retrieved AS FLOAT) AS chunks_retrieved, policy_found
 FROM found""", "found")
+_put("history_preview", """SELECT query_id, question, source_policies, policy_found,
+  strftime(make_timestamp(CAST(query_id % 7 AS BIGINT) * 86400000000), '%Y-%m-%d %H:%M:%S') AS queried_at
+FROM found ORDER BY query_id % 7 DESC, query_id LIMIT 7""", "found")
 _put("policy_text", """
 SELECT policy_number, policy_state, is_active,
   COALESCE(CAST(annual_premium AS DOUBLE), 0) AS annual_premium,

@@ -17,6 +17,7 @@ from assayline.checks import raw
 from assayline.functions import clean as C
 from assayline.functions import flags as W
 from assayline.functions import text as X
+from assayline.operators import enrich
 from assayline.operators import latest as L
 from assayline.operators import report as P
 from assayline.operators import rules as R
@@ -505,6 +506,72 @@ def dq_entity_report(spark, folder):
 
 
 # --- gold -------------------------------------------------------------------
+@query
+def sold_sales_log(spark, folder):
+    """Rejected listings by reason under the second form of the rules, which fails those not sold."""
+    return R.quality_log({"sales": R.rejected(S.SOLD_SALES.tagged(bronze(spark, folder, "sales")), stamp=False)}, stamp=False)
+
+
+@query
+def fact_sales_numbers(spark, folder):
+    """The older form of the fact, with is_sold as 0 or 1."""
+    return portable(gold.fact_sales(silver(spark, folder, "sales"), sold_as_int=True).select(
+        "sales_id", "car_id", "is_sold", "sale_status"))
+
+
+# --- stored tables ----------------------------------------------------------
+@query
+def sink_overwrite(spark, folder):
+    """A stored table replaced by one of other columns, split by a column and into small files."""
+    out = scratch(spark, "sink-overwrite")
+    orders = tpc(spark, folder, "orders")
+    tables.overwrite(orders.select("o_orderkey", "o_orderdate"), out)
+    tables.overwrite(orders.select("o_orderkey", "o_custkey", "o_orderstatus"), out, partition_by=("o_orderstatus",), rows_per_file=1000)
+    kept = tables.read(spark, out)
+    return kept.select("o_orderkey", "o_custkey", "o_orderstatus", F.lit(len(kept.columns)).alias("columns"))
+
+
+@query
+def sink_append(spark, folder):
+    """History: two appends, the second with a column more. Each has a time stamp."""
+    out = scratch(spark, "sink-append")
+    orders = tpc(spark, folder, "orders")
+    first = orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    second = orders.filter("o_orderstatus <> 'F'").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for part in (first, second):
+        tables.append(enrich.stamped(part, "added_at"), out)
+    kept = tables.read(spark, out)
+    recent = F.col("added_at").between(F.current_timestamp() - F.expr("interval 1 day"), F.current_timestamp())
+    return kept.select("o_orderkey", "o_custkey", "o_orderstatus", recent.alias("added_now"))
+
+
+@query
+def stored_counts(spark, folder):
+    """Rows of named tables; one of the names is not there."""
+    names = ("orders", "lineitem", "customer", "absent")
+    for name in names[:-1]:
+        tpc(spark, folder, name).createOrReplaceTempView(f"stored_{name}")
+    return P.table_counts(spark, [f"stored_{n}" for n in names])
+
+
+@query
+def provenance(spark, folder):
+    """Rows by the folder of their file, from the real path, and whether they were read just now."""
+    df = _customer_files(spark, folder)
+    folder_name = F.regexp_extract("_source_file", "/(Insurance [0-9]+)/[^/]+[.]csv$", 1)
+    recent = F.col("_ingest_time").between(F.current_timestamp() - F.expr("interval 1 day"), F.current_timestamp())
+    return df.groupBy(folder_name.alias("folder"), "_source_region", recent.alias("read_now")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def short_ids(spark, folder):
+    """A random id per order: eight upper-case signs, and nearly all of them different."""
+    ids = tpc(spark, folder, "orders").select("o_orderstatus", X.short_id().alias("i"))
+    return ids.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"), F.every(F.col("i").rlike("^[0-9A-F]{8}$")).alias("well_formed"),
+        (F.count_distinct("i") > 0.99 * F.count(F.lit(1))).alias("different"))
+
+
 @query
 def date_dim(spark, folder):
     """The days that orders and line items span, with how many of them fall on each."""
@@ -754,6 +821,16 @@ def retrieval_history(spark, folder):
     return retrieval.answer(found, stamp=False).drop("confidence_score", "avg_confidence")
 
 
+@query
+def history_preview(spark, folder):
+    """The newest rows of a history in which each question was asked on a day of its own."""
+    q = stage(_questions(spark, folder), "questions")
+    found = retrieval.stats(q, retrieval.retrieve(q, _docs(spark, folder)))
+    history = retrieval.answer(found, stamp=False).withColumn(
+        "queried_at", F.timestamp_seconds(86400 * (F.col("query_id") % 7).cast("bigint")))
+    return portable(retrieval.latest(history, 7).drop("confidence_score"))
+
+
 @query
 def policy_text(spark, folder):
     return retrieval.documents(dims(spark, folder)["policy"])

@@ -145,6 +145,18 @@ CUSTOMER_VARIANTS = {
     "marital_status": ("marital_status", "marital"),
 }
 
+# Reasons of the second form of the sales rules, in the order they are tested.
+# In this form a listing without a sale fails too.
+SOLD_SALES_REASONS = (
+    "missing sales_id — blank or partial row",
+    "missing ad placement date",
+    "missing sold date",
+    "invalid selling price — zero or negative",
+    "invalid or missing region",
+    "missing or blank state",
+    "missing car_id",
+)
+
 # File patterns of the five entities. Sales files come in both cases.
 FILE_PATTERNS = {
     "customers": "customers_*.csv",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -274,6 +274,13 @@ def sales_rules() -> list[Rule]:
         _none("car_id"))
 
 
+def sold_sales_rules() -> list[Rule]:
+    """Second form: only listings that were sold pass."""
+    conditions = [r.condition() for r in sales_rules()]
+    conditions.insert(2, _none("sold_on"))
+    return [Rule(r, c) for r, c in zip(K.SOLD_SALES_REASONS, conditions, strict=True)]
+
+
 def claim_rules() -> list[Rule]:
     return _rules(
         "claims",
@@ -318,6 +325,10 @@ ENTITIES = {
 }
 
 
+#: Sales under the second form of their rules.
+SOLD_SALES = replace(ENTITIES["sales"], rules=sold_sales_rules)
+
+
 def silver(bronze: DataFrame, entity: str, **options) -> DataFrame:
     return R.passed(ENTITIES[entity].tagged(bronze, **options))
 
