@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -82,8 +83,10 @@ def may_have(df: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
             .select(*[F.col(f"`{c}`") for c in df.columns]))
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of a batch with about `limit` bytes of `column`, one row at least."""
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices of a batch with about `limit` bytes of `column`, one row at least. The
+    arrays made of a slice take some thirty times its size, so slices are small; what the last
+    batch took is given back, as a worker may stay idle for long afterwards."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0)
                      .to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
@@ -92,6 +95,16 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator
         stop = max(start + 1, int(np.searchsorted(size, done + limit, "right")))
         yield batch.slice(start, stop - start)
         start = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,8 @@ regex library matches the notice with bounded errors and reports span and errors
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -85,39 +87,63 @@ def machine():
 
 
 def scan(text: str) -> list[tuple[int, int, int, int]]:
-    """Notices in a plain text with one blank before and after: (notice, start, end, errors)."""
+    """Notices in a plain text with one blank before and after: (notice, start, end, errors).
+
+    Every piece found is searched for in a window of its own, a little longer than the notice,
+    so the work grows with the text however many notices stand next to each other.
+    """
     automaton, patterns = machine()
-    windows: dict[int, list[list[int]]] = {}
+    windows: dict[int, dict[tuple[int, int], None]] = {}
     for end, (size, owners) in automaton.iter(text):
         for k, a in owners:
             notice, _, errors = NOTICES[k]
-            low = max(0, end - size + 1 - a - errors - 1)
-            high = min(len(text), end - size + 1 - a + len(notice) + errors + 1)
-            known = windows.setdefault(k, [])
-            if known and low <= known[-1][1]:
-                known[-1][1] = max(high, known[-1][1])
-            else:
-                known.append([low, high])
+            start = end - size + 1 - a
+            window = max(0, start - errors - 1), min(len(text), start + len(notice) + errors + 1)
+            windows.setdefault(k, {})[window] = None
     hits = []
-    for k, known in windows.items():
-        for low, high in known:
-            found, left = [], [(low, high)]
-            while left:  # the best match comes first: others may stand before it and after it
-                at, end = left.pop()
-                if m := patterns[k].search(text, at, end):
-                    found.append((k, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    left += [(at, m.start()), (max(m.end(), m.start() + 1), end)]
-            hits += sorted(found)
+    for k, own in windows.items():
+        least = len(NOTICES[k][0]) - NOTICES[k][2]
+        hits += [(k, *h) for h in settle(text, patterns[k], list(own), least)]
     return hits
 
 
-def base_places(text: bytes) -> list[tuple[int, str]]:
-    """(word number, label) of each place of a phrase in a plain text."""
+def settle(text: str, pattern, windows: list[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    """(start, end, errors) of matches that do not overlap, those with the fewest errors first
+    and then from the left. A match that overlaps one taken before is sought again in what is
+    left of its window; `least` is the shortest match there is."""
+    taken: list[tuple[int, int, int]] = []
+    heap: list[tuple[int, int, int, int, int]] = []
+
+    def look(low: int, high: int) -> None:
+        if high - low >= least and (m := pattern.search(text, low, high)):
+            heapq.heappush(heap, (sum(m.fuzzy_counts), m.start(), m.end(), low, high))
+
+    for low, high in windows:
+        look(low, high)
+    while heap:
+        errors, start, end, low, high = heapq.heappop(heap)
+        i = bisect_right(taken, (start, len(text) + 1, 0))
+        near = taken[max(0, i - 1):i + 1]
+        if not any(a < end and start < b for a, b, _ in near):
+            taken.insert(i, (start, end, errors))
+            look(low, start)
+            look(end, high)
+            continue
+        at, j = low, max(0, bisect_right(taken, (low, 0, 0)) - 1)
+        while j < len(taken) and taken[j][0] < high:  # the free stretches of the window
+            look(at, taken[j][0])
+            at, j = max(at, taken[j][1]), j + 1
+        look(at, high)
+    return taken
+
+
+def base_places(text: bytes, blanks: np.ndarray) -> list[tuple[int, str]]:
+    """(word number, label) of each place of a phrase in a plain text with blanks at `blanks`."""
     found = []
     for phrase, label in PHRASES:
         seek, at = b" " + phrase.encode() + b" ", -1
         while (at := text.find(seek, at + 1)) >= 0:
-            found.append((text.count(b" ", 0, at), label))
+            found.append((int(np.searchsorted(blanks, at)), label))
     return sorted(found)
 
 
@@ -141,11 +167,12 @@ def scan_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 wide = own.decode("latin-1")
                 if next(automaton.iter(wide), None) is None:
                     continue
-                base[i] = [{"word": w, "label": x} for w, x in base_places(own)]
-                for k, s, e, errors in scan(wide):
+                blanks = np.flatnonzero(np.frombuffer(own, np.uint8) == 32)
+                base[i] = [{"word": w, "label": x} for w, x in base_places(own, blanks)]
+                for k, s, e, errors in sorted(scan(wide)):
                     notice, label, _ = NOTICES[k]
-                    hits[i].append({"label": label, "start": own.count(b" ", 0, s) - (own[s:s + 1] != b" "),
-                                    "stop": own.count(b" ", 0, e), "errors": errors})
+                    hits[i].append({"label": label, "start": int(np.searchsorted(blanks, s)) - (own[s:s + 1] != b" "),
+                                    "stop": int(np.searchsorted(blanks, e)), "errors": errors})
                     score[i] = max(score[i], 1 - errors / len(notice))
                 if base[i]:
                     score[i] = 1.0
@@ -161,8 +188,8 @@ def license_notices(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     `base` are the places where a phrase's words stand one after the other (word number from
     0); `hits` the notices found with errors (words from start to before stop, errors). `score`
     is 1 with a base place, else the best share of a notice without error, else 0. A null or
-    empty text has no words; ids may be null or repeat; other columns are not read; an empty
-    table gives no rows.
+    empty text has no words; texts of any length are read whole, in time that grows with their
+    length; ids may be null or repeat; other columns are not read; an empty table gives no rows.
     """
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
         .mapInArrow(scan_batches, SCHEMA)

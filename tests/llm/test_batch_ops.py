@@ -1,6 +1,7 @@
 """Packing, personal data, notices, mixing, lines and the classifier on small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -243,6 +244,43 @@ def test_notice_search_equals_full_matching():
         assert any(h[0] == k for h in licenses.scan(wide))
 
 
+def test_notices_with_inserted_and_deleted_letters_equal_full_matching():
+    """Every hit is a place where the whole text matches within the errors allowed, and every
+    planted place is hit."""
+    rng = np.random.default_rng(12)
+    for _ in range(150):
+        k = int(rng.integers(len(licenses.NOTICES)))
+        notice, _, errors = licenses.NOTICES[k]
+        chars = list(notice)
+        for _ in range(int(rng.integers(0, errors + 1))):
+            at, kind = int(rng.integers(1, len(chars) - 1)), int(rng.integers(3))
+            if kind == 0:
+                chars.insert(at, "q")
+            elif kind == 1 and chars[at] != " ":
+                del chars[at]
+            elif chars[at] != " ":
+                chars[at] = "z"
+        words = [f"w{i}" for i in rng.integers(0, 50, 12)]
+        wide = " " + " ".join([*words[:6], "".join(chars), *words[6:]]) + " "
+        start = wide.index("".join(chars))
+        whole = licenses.machine()[1][k]
+        hits = [h for h in licenses.scan(wide) if h[0] == k]
+        assert any(s < start + len(chars) and start < e for _, s, e, _ in hits), wide
+        best = whole.search(wide)
+        assert min(h[3] for h in hits) == sum(best.fuzzy_counts)
+        for _, s, e, n in hits:
+            assert sum(whole.fullmatch(wide, s, e).fuzzy_counts) == n <= errors
+
+
+@pytest.mark.parametrize("notice, errors", [("under the mit license", 0), ("undr the mit license", 1), ("undr the mit licenze", 2)])
+def test_many_notices_next_to_each_other_take_linear_time(notice, errors):
+    import time
+    n, start = 100_000, time.time()
+    hits = [h for h in licenses.scan(f" {notice}" * n + " ") if h[0] == 0]
+    assert hits == [(0, i * (len(notice) + 1) + 1, (i + 1) * (len(notice) + 1), errors) for i in range(n)]
+    assert time.time() - start < 60
+
+
 def test_notices_next_to_each_other():
     rng = np.random.default_rng(4)
     for k in (0, 2, 9):
@@ -360,3 +398,54 @@ def test_classifier_odd_rows(spark):
     none = quality.quality(spark, docs(spark, ODD), labels.limit(0), bits=10)
     assert none.where("predicted = 1").count() == len(ODD)
     assert quality.quality(spark, docs(spark, []), labels, bits=10).count() == 0
+
+
+# --- the classifier against dense arithmetic ---------------------------------
+def test_ratios_equal_counts_of_documents(spark):
+    """Class counts by slot, whatever the partitions, against a count in plain Python."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 40, rng.integers(1, 30))) for _ in range(120)]
+    labels = [int(x) for x in rng.integers(0, 2, 120)]
+    import pyarrow as pa
+    from assayline.llm.common import utf8
+    want = np.zeros((2, 1 << 10), np.int64)
+    for t, y in zip(texts, labels):
+        found, _ = quality.slots(*utf8(pa.array([t])), 10)
+        want[y, found] += 1
+    df = spark.createDataFrame([(i, t, y, False) for i, (t, y) in enumerate(zip(texts, labels))],
+                               "doc_id long, text string, label int, fit boolean").repartition(7)
+    rows = df.mapInArrow(quality.counter(10), quality.COUNTED).where("slice >= 0") \
+        .groupBy("slice", "part").applyInPandas(quality.add_up, "slice int, data binary") \
+        .groupBy("slice").applyInPandas(quality.add_up, "slice int, data binary").orderBy("slice").collect()
+    got = np.concatenate([np.frombuffer(r["data"], np.int64).reshape(2, -1) for r in rows], axis=1)
+    assert (got == want).all()
+
+
+def test_counts_beyond_32_bits_do_not_wrap():
+    import pandas as pd
+    big = np.array([2**31 - 1, 5, 2**40, 0], np.int64).tobytes()
+    out = quality.add_up(pd.DataFrame({"slice": [0, 0, 0], "data": [big] * 3}))
+    assert np.frombuffer(out["data"][0], np.int64).tolist() == [3 * (2**31 - 1), 15, 3 * 2**40, 0]
+
+
+def test_dual_solution_equals_a_dense_solver():
+    """The multipliers' dual objective, maximised by projected gradient on the dense kernel, gives
+    the weights that coordinate descent finds."""
+    rng = np.random.default_rng(3)
+    size, n = 60, 200
+    rows = [np.unique(rng.integers(0, size, 8)) for _ in range(n)]
+    y = np.where([(3 in r) + (7 in r) - (11 in r) > rng.normal(0, 0.4) for r in rows], 1.0, -1.0)
+    ratio = rng.normal(size=size)
+    dense = np.array([np.isin(np.arange(size), r) for r in rows]) * ratio
+    weight = np.where(y > 0, 1.0, max(1.0, min(10.0, (y > 0).sum() / max(1, (y < 0).sum()))))
+    kernel = (dense @ dense.T + 1) * np.outer(y, y)
+    alpha, step = np.zeros(n), 1 / np.linalg.eigvalsh(kernel)[-1]
+    momentum, before = alpha.copy(), 1.0
+    for _ in range(60_000):
+        new = np.clip(momentum + step * (1 - kernel @ momentum), 0, quality.COST * weight)
+        after = (1 + math.sqrt(1 + 4 * before**2)) / 2
+        momentum, alpha, before = new + (before - 1) / after * (new - alpha), new, after
+    want = dense.T @ (alpha * y)
+    model = quality.fit_model(rows, y, ratio, beta=1.0, passes=4000)
+    assert np.allclose(model[:-3], want * ratio, atol=2e-3)
+    assert abs(model[-3] - (alpha * y).sum()) < 2e-3
