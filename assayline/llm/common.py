@@ -41,9 +41,12 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 def forget(*frames: DataFrame) -> None:
     """Removes the folders of stored frames that no later step reads."""
     for df in frames:
-        spark = df.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_in)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(df.sparkSession, df.stored_in)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free(df: DataFrame, *names: str) -> list[str]:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import SPACE, free, may_have, stored
+from assayline.llm.common import SPACE, forget, free, may_have, remove, stored
 from assayline.session import scratch
 
 #: Settings of the stream: state on disk; a store is closed once its batch is committed, so that
@@ -62,6 +62,8 @@ def keep_state(digests: DataFrame, files_per_batch: int) -> DataFrame:
             .select("digest", F.col("first.doc_id").alias("keep_id"),
                     F.col("first.place").alias("place"), "group_size"), "dedup-keys")
     finally:
+        remove(spark, folder)
+        remove(spark, log)
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
@@ -107,6 +109,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("at", "digest", sha256(F.col("text")).alias("text_sha256"),
                 F.when(F.col("text") != F.col("stays"), F.col("text")).alias("other"),
                 F.monotonically_increasing_id().alias("row")), "dedup-checked")
+    forget(full, ids)
     # `other` is the text where it differs from the one that stays: a group of its own.
     groups = checked.groupBy("digest", "other").agg(
         F.min(F.struct("at", "row")).alias("first"), F.count("*").alias("group_size")) \

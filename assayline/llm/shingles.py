@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from assayline.llm.common import distinct, forget, free, may_have, mix, pieces, stored, utf8, word_hashes
+from assayline.llm.common import distinct, forget, free, give_back, may_have, mix, pieces, stored, utf8, word_hashes
 from assayline.llm.components import components
 
 WIDTH = 4
@@ -330,13 +330,12 @@ def within(width: int, percent: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, own in group.groupby("cluster"):
-            own = own.sort_values("rep")
+            own = own.drop_duplicates("rep").sort_values("rep")
             if "text" in own:
                 sets = sets_of(pa.array(own["text"], pa.string()), width)
                 right = [digest(s) == k for s, k in zip(sets, zip(own["hi"], own["lo"]))]
                 sets, own = [s for s, r in zip(sets, right) if r], own[right]
             else:
-                own = own.drop_duplicates("rep")
                 sets = [np.frombuffer(x, np.uint64) for x in own["elements"]]
             if len(sets) > 1:
                 out.append(edge_frame(own["rep"].tolist(), connect(sets, percent)))
@@ -371,6 +370,36 @@ def elements_of(width: int):
     return run
 
 
+#: Sets up to which their keys (some 60 bytes each) are sent to all tasks; more are joined by a shuffle.
+SENT_SETS = 500_000
+
+
+def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per set and task, however often its document is repeated."""
+    seen: set[int] = set()
+    for batch in batches:
+        new = []
+        for i, rep in enumerate(batch.column("rep").to_pylist()):
+            if rep not in seen:
+                seen.add(rep)
+                new.append(i)
+        yield batch.take(pa.array(new, pa.int64()))
+    give_back()
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cluster, size, rep, hi, lo, text) of the documents that stand for a set. Where the sets
+    are counted to be few the texts meet them without an exchange; otherwise only those that
+    may be wanted go through one."""
+    texts = texts.where("doc_id is not null")
+    if wanted.limit(SENT_SETS + 1).count() <= SENT_SETS:
+        joined = texts.join(F.broadcast(wanted), ["doc_id", "text_hash"])
+    else:
+        joined = may_have(texts, wanted, "doc_id", "text_hash").join(wanted.hint("shuffle_hash"), ["doc_id", "text_hash"])
+    return joined.select("cluster", "size", "rep", "hi", "lo", "text").mapInArrow(
+        once, "cluster long, size long, rep long, hi long, lo long, text string")
+
+
 def similar_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, block: int = BLOCK,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per input row: doc_id, n_shingles, component_id.
@@ -425,22 +454,17 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     members = classes.join(clusters, "hi")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(sizes, "cluster"), "jaccard-members")
-    # One text per set, and only texts that may be one of these go through an exchange. Rows
-    # equal in id and text are brought down to one before it.
-    wanted = members.select("cluster", "size", "rep", "first.doc_id", "first.text_hash", "hi", "lo")
-    own = may_have(texts.where("doc_id is not null"), wanted, "doc_id", "text_hash") \
-        .groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"))
+    wanted = members.select("cluster", "size", "rep", F.col("first.doc_id").alias("doc_id"),
+                            F.col("first.text_hash").alias("text_hash"), "hi", "lo")
     blocks = F.ceil(F.col("size") / block).cast("int")
     here = F.pmod(F.xxhash64("rep"), blocks).cast("int")
     cells = 4 * shards
-    small = own.join(wanted.where(blocks == 1).hint("shuffle_hash"), ["doc_id", "text_hash"]) \
-        .select("cluster", "rep", "hi", "lo", "text", F.pmod(F.xxhash64("cluster"), F.lit(cells)).alias("cell"))
+    small = texts_of(texts, wanted.where(blocks == 1)).withColumn("cell", F.pmod(F.xxhash64("cluster"), F.lit(cells)))
     edges = small.groupBy("cell").applyInPandas(within(width, percent), EDGES)
     some_large = not members.where(blocks > 1).isEmpty()
     if some_large:
         # Blocks of a large cluster meet several times, so its sets are stored.
-        large = stored(own.join(wanted.where(blocks > 1).hint("shuffle_hash"), ["doc_id", "text_hash"])
-                       .select("cluster", "size", "rep", "hi", "lo", "text")
+        large = stored(texts_of(texts, wanted.where(blocks > 1))
                        .mapInArrow(elements_of(width), "cluster long, size long, rep long, elements binary"), "jaccard-sets")
         pivots = members.where(blocks > 1).groupBy("cluster").agg(
             *[F.min(F.struct(F.xxhash64("rep", F.lit(k)), "rep")).alias(f"p{k}") for k in range(PIVOTS)]) \
