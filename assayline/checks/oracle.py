@@ -1025,3 +1025,7 @@ _put("stream_bronze", """SELECT 'Insurance 4' AS _source_region, NULLIF(fuel, ''
   NULLIF(model, '') AS model, count(*) AS n, count(NULLIF(car_id, '')) AS ids,
   count(NULLIF(mileage, '')) FILTER (_source_file LIKE '%cars.csv') AS mileages FROM raw_cars GROUP BY ALL""",
      "raw_cars")
+
+# the same counts, taken while the tables are written
+ORACLE["quality_log_written"] = ORACLE["quality_log"]
+ORACLE["reconcile_written"] = ORACLE["reconcile_counts"]

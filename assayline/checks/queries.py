@@ -506,6 +506,23 @@ def dq_entity_report(spark, folder):
 
 
 # --- gold -------------------------------------------------------------------
+def _outcomes(spark, folder) -> list[R.Outcome]:
+    """What is counted while every entity is written, each planned and run once."""
+    layers = {e: bronze(spark, folder, e) for e in S.ENTITIES}
+    return list(S.build_counted(spark, layers, scratch(spark, "counted"))[1].values())
+
+
+@query
+def quality_log_written(spark, folder):
+    """The quality log out of the counts of the write itself."""
+    return R.log_of(spark, _outcomes(spark, folder), stamp=False)
+
+
+@query
+def reconcile_written(spark, folder):
+    return R.reconciliation_of(spark, _outcomes(spark, folder))
+
+
 @query
 def sold_sales_log(spark, folder):
     """Rejected listings by reason under the second form of the rules, which fails those not sold."""

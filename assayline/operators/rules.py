@@ -6,12 +6,13 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assayline.operators.latest import mark_latest
 
 REASON, KIND, STAMP = "quarantine_reason", "quarantine_type", "quarantine_timestamp"
+KINDS = ("drop", "quarantine")
 
 
 @dataclass(frozen=True)
@@ -99,6 +100,50 @@ def quality_log(quarantines: Mapping[str, DataFrame], with_type: bool = True,
     return log.withColumn("log_timestamp", F.current_timestamp()) if stamp else log
 
 
+@dataclass(frozen=True)
+class Outcome:
+    """Rows of one entity by what became of them: in, passed, and rejected by (reason, type)."""
+
+    entity: str
+    records: int
+    passed: int
+    rejected: Mapping[tuple[str, str], int]
+
+
+def outcome_counts(reasons: Sequence[str]) -> list[Column]:
+    """Aggregates over a tagged frame for `observe`: all rows, those that passed, and those
+    rejected for each known reason and type."""
+    none = F.lit(False)
+    counts = [F.count(F.lit(1)).alias("records"), F.count_if(F.col(REASON).isNull()).alias("passed")]
+    for i, reason in enumerate(reasons):
+        for kind in KINDS:
+            hit = F.coalesce((F.col(REASON) == reason) & (F.col(KIND) == kind), none)
+            counts.append(F.count_if(hit).alias(f"{kind}_{i}"))
+    return counts
+
+
+def outcome_of(entity: str, reasons: Sequence[str], seen: Mapping[str, int]) -> Outcome:
+    """Counts that were observed, checked: in = passed + rejected."""
+    rejected = {(r, k): seen[f"{k}_{i}"] for i, r in enumerate(reasons) for k in KINDS if seen[f"{k}_{i}"]}
+    if seen["passed"] + sum(rejected.values()) != seen["records"]:
+        raise ValueError(f"{entity}: {seen['records']} rows, of which {seen['passed']} passed and "
+                         f"{sum(rejected.values())} were rejected for a known reason")
+    return Outcome(entity, seen["records"], seen["passed"], rejected)
+
+
+def log_of(spark: SparkSession, outcomes: Iterable[Outcome], stamp: bool = True, schema: str = "silver") -> DataFrame:
+    """The quality log out of observed counts: a row per entity, reason and type."""
+    rows = [(o.entity, f"{schema}.quarantine_{o.entity}", r, k, n) for o in outcomes for (r, k), n in o.rejected.items()]
+    log = spark.createDataFrame(rows, f"entity string, quarantine_table string, {REASON} string, {KIND} string, failed_record_count bigint")
+    return log.withColumn("log_timestamp", F.current_timestamp()) if stamp else log
+
+
+def reconciliation_of(spark: SparkSession, outcomes: Iterable[Outcome]) -> DataFrame:
+    """Rows in, passed and rejected per entity out of observed counts."""
+    return spark.createDataFrame([(o.entity, o.records, o.passed, o.records - o.passed) for o in outcomes],
+                                 "entity string, records bigint, passed_records bigint, failed_records bigint")
+
+
 def _holds(condition: str) -> Column:
     return F.coalesce(F.expr(condition), F.lit(False))
 

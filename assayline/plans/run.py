@@ -32,10 +32,9 @@ def run(spark: SparkSession, raw: str, out: str, sources: dict[str, Source] | No
               for e, s in (sources or SOURCES).items()}
     keep("bronze/file_log", file_log(bronze))
 
-    layer = silver.build(spark, bronze, f"{out}/silver")
+    layer, outcomes = silver.build_counted(spark, bronze, f"{out}/silver")
     done.update({f"silver/{n}": df for n, df in layer.items()})
-    log = keep("silver/quality_log", R.quality_log(
-        {e: layer[f"quarantine_{e}"] for e in bronze}))
+    log = keep("silver/quality_log", R.log_of(spark, outcomes.values()))
 
     dates = keep("gold/dim_date", gold.dim_date(spark))
     customers = keep("gold/dim_customer", gold.dim_customer(layer["silver_customers"]))

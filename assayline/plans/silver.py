@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from assayline import contracts as K
@@ -338,24 +338,38 @@ def quarantine(bronze: DataFrame, entity: str, stamp: bool = True, **options) ->
 
 
 def build(spark: SparkSession, bronze: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Writes each entity once, split by outcome, and returns the stored tables.
+    """The stored tables of `build_counted`."""
+    return build_counted(spark, bronze, folder)[0]
+
+
+def build_counted(spark: SparkSession, bronze: Mapping[str, DataFrame],
+                  folder: str) -> tuple[dict[str, DataFrame], dict[str, R.Outcome]]:
+    """Writes each entity once, split by outcome, and returns the stored tables and what was
+    counted in the writes.
 
     Cleaning, duplicate marking and rules run a single time per entity; silver and
     quarantine are two partitions of the same write, so they cannot disagree, and
-    reading one of them skips the files of the other.
+    reading one of them skips the files of the other. Rows are counted by outcome as
+    they are written: log and reconciliation cost no further pass. An entity whose
+    outcomes do not add up to its rows is an error.
     """
-    out = {}
+    out, counts = {}, {}
     for name, df in bronze.items():
+        e = ENTITIES[name]
         path = f"{folder}/{name}"
-        tagged = ENTITIES[name].tagged(df)
+        seen = Observation(f"outcomes of {name}")
+        reasons = [f"duplicate {e.key}", *[r.reason for r in e.rules()]]
+        tagged = e.tagged(df).observe(seen, *R.outcome_counts(reasons))
         (tagged.withColumn(R.STAMP, F.current_timestamp())
          .withColumn("outcome", F.when(F.col(R.REASON).isNull(), "silver").otherwise("quarantine"))
          .write.mode("overwrite").partitionBy("outcome").parquet(path))
-        stored = spark.read.parquet(path)
+        counts[name] = R.outcome_of(name, reasons, seen.get)
+        schema = tagged.withColumns({R.STAMP: F.current_timestamp(), "outcome": F.lit("")}).schema
+        stored = spark.read.schema(schema).parquet(path)
         out[f"silver_{name}"] = (stored.filter("outcome = 'silver'")
                                  .drop("outcome", R.REASON, R.KIND, R.STAMP))
         out[f"quarantine_{name}"] = stored.filter("outcome = 'quarantine'").drop("outcome")
-    return out
+    return out, counts
 
 
 # ---------------------------------------------------------------------------

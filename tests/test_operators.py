@@ -280,3 +280,11 @@ def test_more_queries_than_a_block_or_a_task_holds(spark, monkeypatch):
     got = {(r.query_id, r.position): (r.doc_id, r.confidence) for r in plan.collect()}
     assert got.keys() == want.keys()
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-8 for k in want)
+
+
+def test_outcomes_that_do_not_add_up_are_an_error():
+    seen = {"records": 5, "passed": 2, "drop_0": 1, "quarantine_0": 2}
+    got = rules.outcome_of("t", ["r"], seen)
+    assert got.rejected == {("r", "drop"): 1, ("r", "quarantine"): 2} and got.records == 5
+    with pytest.raises(ValueError):
+        rules.outcome_of("t", ["r"], {**seen, "records": 6})
