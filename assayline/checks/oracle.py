@@ -828,6 +828,11 @@ FROM k_customers, (SELECT unique_customers_with_claims AS n FROM k_claims)""",
      "k_policies", "states", "k_claims", "regions", "worst_best", "times", "slow_fast",
      "k_customers")
 
+_put("kpi_json", """SELECT 'INS_003_CUSTOMER_PROFILE' AS insight_id, 'customer_profile' AS domain_name, CAST(10 AS INTEGER) AS fields,
+  total_customers, avg_balance, negative_balance_count, home_insurance_pct,
+  unique_customers_with_claims AS unique_customers_w_claims,
+  round(unique_customers_with_claims / total_customers * 100, 1) AS claims_penetration_pct FROM k_customers, k_claims""",
+     "k_customers", "k_claims")
 _put("region_notes", """
 SELECT region, avg_rejection_rate AS avg_rejection_rate_pct, total_claims,
   'note: Region: ' || region || ', Average rejection rate: ' || CAST(avg_rejection_rate AS VARCHAR)
