@@ -11,7 +11,8 @@
    that this gives are searched by T-occurrence: inverted lists of its shingles, short ones merged by a heap, long ones probed by binary
    search (DivideSkip), and documents kept that reach the overlap the threshold asks for.
 3. A cluster too large for a task is cut into blocks that share some pivots. Near copies
-   connect through these; the few documents that do not are searched in every block.
+   connect through these; documents that do not are searched among those of like size, in
+   blocks of bounded bytes.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ PERCENT = 85
 #: Sets of a cluster that one task searches, and pivots that blocks of a cluster share.
 BLOCK = 1500
 PIVOTS = 8
+#: Bytes of elements of a large cluster that one task compares with as many others.
+SIDE = 16 << 20
 
 
 def set_of(words: np.ndarray, width: int) -> np.ndarray:
@@ -354,6 +357,40 @@ def across(percent: int):
     return run
 
 
+def size_class(size: Column, percent: int) -> Column:
+    """Number of a class of sizes; sets that link are of the same class or of neighbouring ones."""
+    # A little wider than the ratio of sizes allows, so that rounding cannot part such a pair.
+    return F.floor(F.log(size.cast("double")) / (max(math.log(100 / percent), 1e-3) * (1 + 1e-9)))
+
+
+CELL = ("cluster", "class", "up")
+
+
+def meetings(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, cells): the sets of large clusters dealt to the tasks of `across`, and a stored
+    table of what each cell holds.
+
+    A set apart from its main group asks the sets of its own class of sizes and of the next one
+    above (`up`), and of the next one below those that are not apart, as the others ask it
+    themselves. A cell of too many bytes is cut: askers by turn, those asked by block.
+    """
+    asked = labelled.withColumn("up", F.explode(F.when(F.col("apart"), F.array(F.lit(True))).otherwise(F.array(F.lit(True), F.lit(False)))))
+    askers = labelled.where("apart").withColumn("step", F.explode(F.array(*[F.lit(i) for i in (-1, 0, 1)]))) \
+        .withColumns({"class": F.col("class") + F.col("step"), "up": F.col("step") >= 0}).drop("step")
+
+    def parts(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*CELL).agg(F.ceil(F.sum(F.length("elements")) / SIDE).cast("int").alias(name))
+    cells = stored(parts(asked, "blocks").join(parts(askers, "turns"), list(CELL)), "jaccard-cells")
+    columns = [*CELL, "rep", "component", "apart", "elements", "block", "turn"]
+    left = asked.join(cells, list(CELL)).withColumns({
+        "apart": F.lit(False), "block": F.pmod(F.xxhash64("rep"), "blocks").cast("int"),
+        "turn": F.explode(F.sequence(F.lit(0), F.col("turns") - 1))}).select(columns)
+    right = askers.join(cells, list(CELL)).withColumns({
+        "turn": F.pmod(F.xxhash64("rep", F.lit(1)), "turns").cast("int"),
+        "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))}).select(columns)
+    return left.unionByName(right), cells
+
+
 def elements_of(width: int):
     """Sets of the documents that stand for their set, checked by digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -477,25 +514,21 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     groups = components(edges)
     forget(edges)
     if some_large:
-        # Documents apart from the main group of a large cluster meet all of its blocks.
+        # Documents apart from the main group of a large cluster meet all of it that is of like size.
         labelled = large.join(groups.withColumnRenamed("node", "rep"), "rep", "left") \
             .withColumn("component", F.coalesce("component", "rep"))
         main = labelled.groupBy("cluster", "component").agg(F.count("*").alias("n")) \
             .groupBy("cluster").agg(F.max(F.struct("n", "component")).alias("m")) \
             .select("cluster", F.col("m.component").alias("main"), F.col("m.n").alias("n"))
         labelled = stored(labelled.join(main, "cluster").withColumn("apart", F.col("component") != F.col("main"))
-                          .where("size > n"), "jaccard-apart")
-        turns = F.ceil((F.col("size") - F.col("n")) / block).cast("int")
-        columns = ["cluster", "rep", "component", "apart", "elements", "block", "turn"]
-        left = labelled.withColumn("block", here).withColumn("apart", F.lit(False)) \
-            .withColumn("turn", F.explode(F.sequence(F.lit(0), turns - 1))).select(columns)
-        right = labelled.where("apart").withColumn("turn", F.pmod(F.xxhash64("rep", F.lit(1)), turns).cast("int")) \
-            .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(columns)
-        more = left.unionByName(right).groupBy("cluster", "block", "turn").applyInPandas(across(percent), EDGES)
+                          .where("size > n").select("cluster", "rep", "component", "apart", "elements",
+                                                    size_class(F.length("elements") / 8, percent).alias("class")), "jaccard-apart")
+        more, cells = meetings(labelled)
+        more = more.groupBy(*CELL, "block", "turn").applyInPandas(across(percent), EDGES)
         more = stored(more, "jaccard-more")
         if not more.isEmpty():
             groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-        forget(labelled, large, more)
+        forget(labelled, large, more, cells)
     forget(members)
     reached = classes.join(groups.withColumnRenamed("node", "rep"), "rep")
     least = reached.groupBy("component").agg(F.min("first").alias("least"))

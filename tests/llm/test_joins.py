@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -62,8 +63,9 @@ def near_texts():
     return rows
 
 
-@pytest.mark.parametrize("width, percent, block", [(4, 85, 1500), (5, 80, 6)])
-def test_shingle_join(spark, width, percent, block):
+@pytest.mark.parametrize("width, percent, block, side", [(4, 85, 1500, 1 << 24), (5, 80, 6, 1 << 24), (5, 80, 3, 4000)])
+def test_shingle_join(spark, monkeypatch, width, percent, block, side):
+    monkeypatch.setattr(shingles, "SIDE", side)
     rows = list(enumerate(near_texts(), 7)) + [(3, "a b c"), (3, "a b c")]
     sets = defaultdict(set)
     for i, t in rows:
@@ -94,6 +96,32 @@ def test_sets_with_the_same_smallest_id(spark, block):
         {(1, 100, 1): 2, (2, 100, 1): 1, (3, 100, 1): 1, (1, 1, 1): 1})
 
 
+@pytest.mark.parametrize("percent", [80, 85, 100])
+def test_sets_that_link_are_of_neighbouring_size_classes(spark, percent):
+    sizes = spark.range(1, 20001).select(F.col("id").alias("n"), F.ceil(F.lit(percent) * F.col("id") / 100).alias("m"))
+    step = shingles.size_class(F.col("n"), percent) - shingles.size_class(F.col("m"), percent)
+    assert sizes.where(step > 1).isEmpty() and sizes.where(step < 0).isEmpty()
+
+
+@pytest.mark.parametrize("side", [1 << 24, 900])
+def test_every_pair_of_like_size_meets_once_at_least(spark, monkeypatch, side):
+    """Sets apart from the main group meet all of their cluster whose size allows a link."""
+    monkeypatch.setattr(shingles, "SIDE", side)
+    rows = [(1 + i % 2, i, 0 if i % 5 == 0 else i, i % 5 > 0, bytes(8 * (3 + 7 * i % 60))) for i in range(120)]
+    frame = spark.createDataFrame(rows, "cluster long, rep long, component long, apart boolean, elements binary")
+    frame = frame.withColumn("class", shingles.size_class(F.length("elements") / 8, 80))
+    dealt, cells = shingles.meetings(frame)
+    met, most = set(), 0
+    for key, own in dealt.toPandas().groupby([*shingles.CELL, "block", "turn"]):
+        met |= {(int(a), int(b)) for a in own["rep"][own["apart"]] for b in own["rep"]}
+        most = max(most, len(own))
+    size = {r[1]: len(r[4]) for r in rows}
+    want = {(a[1], b[1]) for a in rows if a[3] for b in rows if a[0] == b[0] and a[1] != b[1]
+            and 100 * min(size[a[1]], size[b[1]]) >= 80 * max(size[a[1]], size[b[1]])}
+    assert all(pair in met or pair[::-1] in met for pair in want) and len(want) > 500
+    assert cells.where("blocks > 1 and turns > 1").isEmpty() == (side > 900)
+
+
 def test_near_copies_with_repeated_ids(spark):
     text = lambda tag, end="": " ".join(f"{tag}{k}" for k in range(100)) + end
     rows = [(7, text("p")), (7, text("q")), (3, text("p", " x")), (4, text("r")), (4, text("r", " y")), (5, text("r", " z")),
