@@ -10,7 +10,8 @@
    salts) are compared directly, which settles most links. The sets outside the largest group
    that this gives are searched by T-occurrence: inverted lists of its shingles, short ones merged by a heap, long ones probed by binary
    search (DivideSkip), and documents kept that reach the overlap the threshold asks for.
-3. A cluster too large for a task is cut into blocks that share some pivots. Near copies
+3. Of a cluster too large for a task, sets go that have too few elements in common with all
+   others; the rest is cut into blocks that share some pivots. Near copies
    connect through these; documents that do not are searched among those of like size, in
    blocks of bounded bytes.
 """
@@ -357,6 +358,26 @@ def across(percent: int):
     return run
 
 
+def taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per element of each set."""
+    for batch in batches:
+        for rep, elements in zip(batch.column("rep").to_pylist(), batch.column("elements").to_pylist()):
+            own = np.frombuffer(elements, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep)), pa.array(own)], ["rep", "element"])
+
+
+def that_may_link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(sets, counts): the sets that have enough elements in common with others to link with any,
+    and a stored table of the number of elements that no other set has. A link takes
+    100 * common >= percent * size of either set, so a set with less than this left has none."""
+    counts = stored(sets.select("rep", "elements").mapInArrow(taken_apart, "rep long, element long")
+                    .groupBy("element").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")).where("rep = other")
+                    .groupBy("rep").agg(F.count("*").alias("alone")), "jaccard-alone")
+    n = F.length("elements") / 8
+    kept = sets.join(counts, "rep", "left").where(100 * (n - F.coalesce("alone", F.lit(0))) >= percent * n)
+    return kept.select(*sets.columns), counts
+
+
 def size_class(size: Column, percent: int) -> Column:
     """Number of a class of sizes; sets that link are of the same class or of neighbouring ones."""
     # A little wider than the ratio of sizes allows, so that rounding cannot part such a pair.
@@ -503,7 +524,9 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
         # Blocks of a large cluster meet several times, so its sets are stored.
         large = stored(texts_of(texts, wanted.where(blocks > 1))
                        .mapInArrow(elements_of(width), "cluster long, size long, rep long, elements binary"), "jaccard-sets")
-        pivots = members.where(blocks > 1).groupBy("cluster").agg(
+        whole = large
+        large, counts = that_may_link(whole, percent)
+        pivots = large.groupBy("cluster").agg(
             *[F.min(F.struct(F.xxhash64("rep", F.lit(k)), "rep")).alias(f"p{k}") for k in range(PIVOTS)]) \
             .select("cluster", F.explode(F.array_distinct(F.array(*[F.col(f"p{k}.rep") for k in range(PIVOTS)]))).alias("rep"))
         shared = large.join(pivots, ["cluster", "rep"]).select(
@@ -523,12 +546,13 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
         labelled = stored(labelled.join(main, "cluster").withColumn("apart", F.col("component") != F.col("main"))
                           .where("size > n").select("cluster", "rep", "component", "apart", "elements",
                                                     size_class(F.length("elements") / 8, percent).alias("class")), "jaccard-apart")
+        forget(whole, counts)
         more, cells = meetings(labelled)
         more = more.groupBy(*CELL, "block", "turn").applyInPandas(across(percent), EDGES)
         more = stored(more, "jaccard-more")
         if not more.isEmpty():
             groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-        forget(labelled, large, more, cells)
+        forget(labelled, more, cells)
     forget(members)
     reached = classes.join(groups.withColumnRenamed("node", "rep"), "rep")
     least = reached.groupBy("component").agg(F.min("first").alias("least"))

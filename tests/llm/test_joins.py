@@ -122,6 +122,18 @@ def test_every_pair_of_like_size_meets_once_at_least(spark, monkeypatch, side):
     assert cells.where("blocks > 1 and turns > 1").isEmpty() == (side > 900)
 
 
+def test_only_sets_without_a_link_go(spark):
+    """Near the limit: a set with just enough elements that others have stays, one with fewer goes."""
+    made = {1: range(100), 2: [*range(80), *range(1000, 1020)], 3: [*range(79), *range(2000, 2021)],
+            4: range(3000, 3050), 5: [*range(40), *range(3000, 3040)], 6: [7]}
+    rows = [(0, len(x), rep, np.array(sorted(x), np.uint64).tobytes()) for rep, x in made.items()]
+    frame = spark.createDataFrame([*rows, rows[3]], "cluster long, size long, rep long, elements binary")
+    kept, counts = shingles.that_may_link(frame, 80)
+    assert Counter(r.rep for r in kept.collect()) == Counter({1: 1, 2: 1, 4: 2, 5: 1, 6: 1})
+    assert {r.rep: r.alone for r in counts.collect()} == {1: 20, 2: 20, 3: 21, 4: 10}
+    assert shingles.that_may_link(frame.limit(0), 80)[0].isEmpty()
+
+
 def test_near_copies_with_repeated_ids(spark):
     text = lambda tag, end="": " ".join(f"{tag}{k}" for k in range(100)) + end
     rows = [(7, text("p")), (7, text("q")), (3, text("p", " x")), (4, text("r")), (4, text("r", " y")), (5, text("r", " z")),
