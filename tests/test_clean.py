@@ -130,3 +130,14 @@ def test_response_text(values):
         '{"type":"text","text":"one"}', '[not json', "[{'type': 'text', 'text': 'single'}]"],
         X.response_text("c"))
     assert got == ["plain", "a", "r", "b", '{"type":"text","text":"one"}', "[not json", "single"]
+
+
+def test_iso_date_reads_what_the_format_reads(spark, values):
+    """Plain dates are cast, without the cost of a format; the rest reads as before."""
+    texts = ["2020-01-05", "2020-1-5", "2020-02-30", "2000-02-29", "1900-02-29", "0000-01-01", "+12345-01-01", "+2020-01-01", "-0001-01-01",
+             "2020-01-01 ", " 2020-01-01", "2020-01-01\n", "2020-01-1T", "2020-01-01T", "12020-01-01", "", None, "34:00.0", "now", "epoch",
+             "２０２０-01-01", "2020-13-01", "2020", "2020-01", "1582-10-10", "9999-12-31", "2020-01-01 10:00"]
+    by_format, got = values(texts, F.try_to_date("c", "yyyy-MM-dd").cast("string"), C.iso_date("c").cast("string"))
+    assert got == by_format and got[:4] == ["2020-01-05", None, None, "2000-02-29"]
+    plan = spark.range(1).select(C.iso_date(F.col("id").cast("string")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(" in plan.split("gettimestamp")[0] and "as date" in plan.split("gettimestamp")[0]

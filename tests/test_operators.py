@@ -55,6 +55,38 @@ def test_latest_against_brute_force(spark):
     assert Counter(tuple(r) for r in only.collect()) == Counter(best.values())
 
 
+def test_latest_with_one_exchange_unless_a_key_is_hot(spark):
+    rows = rows_with_hot_key()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+
+    def exchanges(marked):
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+
+    cold, hot = latest.mark_latest(df, "k"), latest.mark_latest(df, "k", share=10, hot_rows=100)
+    assert exchanges(cold) == 1 and exchanges(hot) == 3
+    plan = hot._jdf.queryExecution().optimizedPlan().toString()
+    assert "(k#" in plan and "= 7)" in plan  # the rows of key 7 alone go through two rounds
+    want = Counter(tuple(r) for r in cold.collect())
+    assert want == Counter(tuple(r) for r in hot.collect())
+    assert want == Counter(tuple(r) for r in latest.mark_latest(df, "k", share=1000, hot_rows=0).collect())
+    assert sum(n for r, n in want.items() if r[0] == 7 and r[-1]) == 1
+
+
+def test_wide_selects_are_compiled_in_pieces(spark):
+    from assayline.plans import silver
+    from assayline.session import wide_selects
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    other = spark.newSession()
+    other.conf.set(limit, "65535")
+    raw = other.createDataFrame([("1", "f", datetime(2024, 1, 1))], "customer_id string, _source_file string, _ingest_time timestamp")
+    silver.ENTITIES["customers"].tagged(raw)
+    assert other.conf.get(limit) == "8000"
+    other.conf.set(limit, "4000")
+    wide_selects(other)
+    assert other.conf.get(limit) == "4000"
+
+
 def test_hot_key_is_spread(spark):
     df = spark.createDataFrame([(1, i, "x", "f", datetime(2024, 1, 1)) for i in range(4000)],
                                SCHEMA).repartition(8)
