@@ -2,9 +2,12 @@
 
 import gzip
 import json
+import time
+from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from assayline.sources import prefix
 from assayline.sources import types as Y
@@ -129,6 +132,30 @@ def test_json_arrays(spark, tmp_path):
         ("1", "1.50", None, '{"more":"2"}'), ("2", None, None, None), ("9", None, None, None)]
 
 
+def test_json_files_as_a_whole(spark, tmp_path):
+    """Any layout and encoding; broken, empty and single-object files."""
+    pretty = '[\n  {"id": 1,\n   "x": 1.50},\r\n\n {"id": 1e5, "x": "a\\nb"}\n]\n'
+    write(tmp_path, {"a.json": pretty, "b.json": '{"id":9,"x":0.10}', "c.json": "", "d.json": " \n", "e.json": '[{"id":7}, {"id"', "f.json": "[]"})
+    for name, code in (("g.json", "utf-16-le"), ("h.json", "utf-32-be"), ("i.json", "utf-8-sig")):
+        number = "-2.00" if code == "utf-8-sig" else '"-2.00"'
+        (tmp_path / name).write_bytes(f'[{{"id":"\u0100\U00010000"}},\n{{"id":{number}}}]'.encode(code))
+    df = ingest(spark, Source("t", "json", "*.json", ("id", "x")), str(tmp_path))
+    got = Counter((r["id"], r["x"]) for r in df.collect() if r["_source_file"][-6:] != "e.json")
+    assert got == Counter([("1", "1.50"), ("1e5", "a\nb"), ("9", "0.10")] + 3 * [("\u0100\U00010000", None), ("-2.00", None)])
+    broken = [r["_rescued_data"] for r in df.collect() if r["_source_file"][-6:] == "e.json"]
+    assert any("_corrupt_record" in (r or "") for r in broken)
+
+
+def test_numbers_of_json_arrays_without_a_read_for_each(spark, tmp_path):
+    """60,000 numbers in a file with a checksum beside it took a read each, 15 s and more."""
+    rows = spark.range(30_000, numPartitions=1).select(F.to_json(F.struct("id", (F.col("id") / 8).cast("decimal(20,3)").alias("x"))).alias("j"))
+    rows.agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]"))).write.text(str(tmp_path / "a"))
+    start = time.time()
+    df = ingest(spark, Source("t", "json", "*.txt", ("id", "x")), str(tmp_path / "a"))
+    assert df.filter("x = cast(cast(id as bigint) / 8 as decimal(20,3)) and x like '%.___'").count() == 30_000
+    assert time.time() - start < 8
+
+
 # --- schema log -------------------------------------------------------------
 def test_schema_log(spark, tmp_path):
     from pyspark.sql import types as T

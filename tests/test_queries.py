@@ -23,3 +23,9 @@ def test_entry_points(spark):
     assert set(QUERIES) == set(ORACLE) <= set(entry.queries())
     assert entry.entry(spark).columns == [
         "region", "year", "month", "total_claims", "rejected_claims", "rejection_rate_pct"]
+
+
+def test_raw_claim_files_are_few(spark):
+    """Files of a few hundred records each were 72,000 for 36 million claims."""
+    df = QUERIES["bronze_claims_array"](spark, FOLDER)
+    assert len(df.inputFiles()) < 20 and df.count() > 50_000
