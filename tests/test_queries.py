@@ -29,3 +29,9 @@ def test_raw_claim_files_are_few(spark):
     """Files of a few hundred records each were 72,000 for 36 million claims."""
     df = QUERIES["bronze_claims_array"](spark, FOLDER)
     assert len(df.inputFiles()) < 20 and df.count() > 50_000
+
+
+def test_raw_claims_are_packed(spark):
+    """The names in every record made the files ten times as long as the values."""
+    files = QUERIES["bronze_claims"](spark, FOLDER).inputFiles()
+    assert files and all(f.endswith(".json.gz") for f in files)
