@@ -1,6 +1,8 @@
 """Jaccard join of word shingles: documents that link, and the groups they form.
 
-1. Signatures bring together what can link. If two sets have at least 85 % of their union in
+1. A set needs most of its elements in others to link. Elements are dealt out by hash, those in
+   one set only are counted, and sets with too many of these are left out.
+   Signatures bring together what can link. If two sets have at least 85 % of their union in
    common, few elements differ; with more parts (by hash) than that, one part is the same in
    both. A set emits a hash per part, for the two classes of sizes its partner may be in.
    Parts without elements say nothing: a set that fills too few emits the elements of its
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -129,31 +132,66 @@ def describe(width: int):
     return run
 
 
+def by_shard(value: np.ndarray, node: np.ndarray, key: np.ndarray, shards: int, kept=np.uint64) -> list[tuple]:
+    """(shard, values, numbers of their sets, keys of these sets) for each shard that has values;
+    the upper half of a value says which, and `kept` how much of it is handed on."""
+    shard = ((value >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
+    order = np.argsort(shard, kind="stable")
+    cut = np.searchsorted(shard[order], np.arange(shards + 1))
+    rows = []
+    for k in np.flatnonzero(np.diff(cut)):
+        own = order[cut[k]:cut[k + 1]]
+        used, at = np.unique(node[own], return_inverse=True)
+        at = at.astype(np.uint16 if len(used) < 1 << 16 else np.uint32)
+        rows.append((int(k), value[own].astype(kept).tobytes(), at.tobytes(), key[used].tobytes()))
+    return rows
+
+
+def numbers(at: bytes, n: int) -> np.ndarray:
+    """The n numbers of sets that `by_shard` packed."""
+    return np.frombuffer(at, np.uint16 if len(at) == 2 * n else np.uint32)
+
+
+#: Bytes of elements of a slice. Texts are taken apart in smaller pieces, which take many times their size.
+SLICE = 4 << 20
+
+
+def sets_in_texts(width: int):
+    """(keys, sets): distinct sets of each slice of texts, with the first value of their digest."""
+    def read(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+        sets: dict[tuple[int, int], np.ndarray] = {}
+        size = 0
+        for piece in pieces(batch, "text"):
+            for s in sets_of(piece.column("text"), width):
+                if len(s):
+                    sets[digest(s)] = s
+                    size += s.nbytes
+            if size > SLICE:
+                yield np.array([k[0] for k in sets], np.int64), list(sets.values())
+                sets, size = {}, 0
+        if sets:
+            yield np.array([k[0] for k in sets], np.int64), list(sets.values())
+    return read
+
+
+def sets_by_rep(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """(keys, sets): distinct sets of each slice of rows with elements, with their number."""
+    for piece in pieces(batch, "elements", SLICE):
+        sets = dict(zip(piece.column("rep").to_pylist(), piece.column("elements").to_pylist()))
+        yield np.array(list(sets), np.int64), [np.frombuffer(x, np.uint64) for x in sets.values()]
+
+
 def sign(width: int, percent: int, shards: int):
-    """Signatures of the distinct sets of each slice, by shard: sorted values with set digests."""
+    """Signatures of the distinct sets of each slice, by shard, with set digests."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schemes = Schemes(percent)
+        schemes, read = Schemes(percent), sets_in_texts(width)
         for batch in batches:
-            for piece in pieces(batch, "text", 3 << 20):
-                sets = {digest(s): s for s in sets_of(piece.column("text"), width) if len(s)}
-                if not sets:
-                    continue
-                found = [signatures(s, schemes) for s in sets.values()]
+            for hi, sets in read(batch):
+                found = [signatures(s, schemes) for s in sets]
                 node = np.repeat(np.arange(len(found), dtype=np.uint32), [len(f) for f in found])
-                value = np.concatenate(found)
-                hi = np.array([k[0] for k in sets], np.int64)
-                shard = ((value >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                cut = np.searchsorted(shard[order], np.arange(shards + 1))
-                rows = []
-                for k in np.flatnonzero(np.diff(cut)):
-                    own = order[cut[k]:cut[k + 1]]
-                    used, at = np.unique(node[own], return_inverse=True)
-                    at = at.astype(np.uint16 if len(used) < 1 << 16 else np.uint32)
-                    rows.append((int(k), value[own].tobytes(), at.tobytes(), hi[used].tobytes()))
-                shard_, value_, at_, hi_ = zip(*rows)
+                shard, value, at, key = zip(*by_shard(np.concatenate(found), node, hi, shards))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard_, pa.int32()), *[pa.array(x, pa.binary()) for x in (value_, at_, hi_)]],
+                    [pa.array(shard, pa.int32()), *[pa.array(x, pa.binary()) for x in (value, at, key)]],
                     ["shard", "value", "node", "hi"])
     return run
 
@@ -163,9 +201,8 @@ def meet(group: pd.DataFrame) -> pd.DataFrame:
     value, node = [], []
     for v, n, h in zip(group["value"], group["node"], group["hi"]):
         v, h = np.frombuffer(v, np.uint64), np.frombuffer(h, np.int64)
-        at = np.frombuffer(n, np.uint16 if len(n) == 2 * len(v) else np.uint32)
         value.append(v)
-        node.append(h[at])
+        node.append(h[numbers(n, len(v))])
     value, node = np.concatenate(value), np.concatenate(node)
     order = np.argsort(value, kind="stable")
     value, node = value[order], node[order]
@@ -358,24 +395,71 @@ def across(percent: int):
     return run
 
 
-def taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per element of each set."""
-    for batch in batches:
-        for rep, elements in zip(batch.column("rep").to_pylist(), batch.column("elements").to_pylist()):
-            own = np.frombuffer(elements, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), rep)), pa.array(own)], ["rep", "element"])
+def dealt(shards: int, read):
+    """Elements of the sets of each slice, by shard: the lower halves of their hashes, packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slice_ = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for keys, sets in read(batch):
+                node = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
+                rows = by_shard(np.concatenate(sets), node, keys, shards, np.uint32)
+                shard, value, at, key = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int32()), pa.array(np.full(len(rows), slice_)),
+                     *[pa.array(x, pa.binary()) for x in (value, at, key)]], ["shard", "slice", "value", "node", "key"])
+                slice_ += 1
+    return run
+
+
+def lone(group: pd.DataFrame) -> pd.DataFrame:
+    """For each slice, how many elements of its sets in this shard no set with another key has.
+    Hashes that differ and have the same lower half pass for one element: never too many are lone."""
+    value = [np.frombuffer(v, np.uint32) for v in group["value"]]
+    at = [numbers(n, len(v)) for n, v in zip(group["node"], value)]
+    keys = [np.frombuffer(k, np.int64) for k in group["key"]]
+    key, value_ = np.concatenate([k[a] for k, a in zip(keys, at)]), np.concatenate(value)
+    order = np.argsort(value_)
+    value_, key = value_[order], key[order]
+    first = np.flatnonzero(np.concatenate([[True], value_[1:] != value_[:-1]]))
+    only = np.minimum.reduceat(key, first) == np.maximum.reduceat(key, first)
+    mark = np.empty(len(order), bool)
+    mark[order] = np.repeat(only, np.diff(np.append(first, len(order))))
+    out, start = [], 0
+    for slice_, a, k in zip(group["slice"], at, keys):
+        n = np.bincount(a[mark[start:start + len(a)]], minlength=len(k)).astype(np.uint32)
+        out.append((slice_, k[n > 0].tobytes(), n[n > 0].tobytes()))
+        start += len(a)
+    return pd.DataFrame(out, columns=["slice", "key", "n"])
+
+
+def summed(group: pd.DataFrame) -> pd.DataFrame:
+    """Lone elements of each set of a slice, over all shards."""
+    key, at = np.unique(np.frombuffer(b"".join(group["key"]), np.int64), return_inverse=True)
+    n = np.bincount(at, np.frombuffer(b"".join(group["n"]), np.uint32), len(key))
+    return pd.DataFrame({"key": key, "alone": n.astype(np.int64)})
+
+
+def alone_in(sets: DataFrame, read) -> DataFrame:
+    """(key, alone): number of elements that no other set has, for the sets with any. Elements go
+    through one exchange, packed; a set that occurs in several slices has the same number in each."""
+    shards = max(1, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return sets.mapInArrow(dealt(shards, read), "shard int, slice long, value binary, node binary, key binary") \
+        .groupBy("shard").applyInPandas(lone, "slice long, key binary, n binary") \
+        .groupBy("slice").applyInPandas(summed, "key long, alone long") \
+        .groupBy("key").agg(F.max("alone").alias("alone"))
+
+
+def enough(n: Column, percent: int) -> Column:
+    """Whether a set of n elements, `alone` of them (null: none) in no other set, may link with any.
+    A link takes 100 * common >= percent * size of either set."""
+    return 100 * (n - F.coalesce("alone", F.lit(0))) >= percent * n
 
 
 def that_may_link(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(sets, counts): the sets that have enough elements in common with others to link with any,
-    and a stored table of the number of elements that no other set has. A link takes
-    100 * common >= percent * size of either set, so a set with less than this left has none."""
-    counts = stored(sets.select("rep", "elements").mapInArrow(taken_apart, "rep long, element long")
-                    .groupBy("element").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")).where("rep = other")
-                    .groupBy("rep").agg(F.count("*").alias("alone")), "jaccard-alone")
-    n = F.length("elements") / 8
-    kept = sets.join(counts, "rep", "left").where(100 * (n - F.coalesce("alone", F.lit(0))) >= percent * n)
-    return kept.select(*sets.columns), counts
+    and a stored table of the number of elements that no other set has."""
+    counts = stored(alone_in(sets.select("rep", "elements"), sets_by_rep).withColumnRenamed("key", "rep"), "jaccard-alone")
+    return sets.join(counts, "rep", "left").where(enough(F.length("elements") / 8, percent)).select(*sets.columns), counts
 
 
 def size_class(size: Column, percent: int) -> Column:
@@ -445,16 +529,19 @@ def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     give_back()
 
 
-def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cluster, size, rep, hi, lo, text) of the documents that stand for a set. Where the sets
-    are counted to be few the texts meet them without an exchange; otherwise only those that
-    may be wanted go through one."""
+def met_by(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The documents that stand for a set, as often as they are repeated. Where the sets are
+    counted to be few the texts meet them without an exchange; otherwise only those that may be
+    wanted go through one."""
     texts = texts.where("doc_id is not null")
     if wanted.limit(SENT_SETS + 1).count() <= SENT_SETS:
-        joined = texts.join(F.broadcast(wanted), ["doc_id", "text_hash"])
-    else:
-        joined = may_have(texts, wanted, "doc_id", "text_hash").join(wanted.hint("shuffle_hash"), ["doc_id", "text_hash"])
-    return joined.select("cluster", "size", "rep", "hi", "lo", "text").mapInArrow(
+        return texts.join(F.broadcast(wanted), ["doc_id", "text_hash"])
+    return may_have(texts, wanted, "doc_id", "text_hash").join(wanted.hint("shuffle_hash"), ["doc_id", "text_hash"])
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cluster, size, rep, hi, lo, text) of the documents that stand for a set."""
+    return met_by(texts, wanted).select("cluster", "size", "rep", "hi", "lo", "text").mapInArrow(
         once, "cluster long, size long, rep long, hi long, lo long, text string")
 
 
@@ -505,11 +592,16 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
     classes = stored(known.groupBy("hi", "lo", "n_shingles").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
                      .select("hi", "lo", "n_shingles", "first", F.monotonically_increasing_id().alias("rep")),
                      "jaccard-classes")
-    met = texts.where("doc_id is not null").select("text") \
+    # Sets that have too few elements in common with all others link with none: they are found first, as
+    # parts they share by chance would else tie most sets of a large table into one cluster.
+    alone = alone_in(texts.where("doc_id is not null").select("text"), sets_in_texts(width))
+    classes_left = stored(classes.join(alone.withColumnRenamed("key", "hi"), "hi", "left")
+                          .where(enough(F.col("n_shingles"), percent)).select(*classes.columns), "jaccard-left")
+    met = met_by(texts, classes_left.select(F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"))).select("text") \
         .mapInArrow(sign(width, percent, shards), "shard int, value binary, node binary, hi binary") \
         .groupBy("shard").applyInPandas(meet, EDGES)
     clusters = components(met).select(F.col("node").alias("hi"), F.col("component").alias("cluster"))
-    members = classes.join(clusters, "hi")
+    members = classes_left.join(clusters, "hi")
     sizes = members.groupBy("cluster").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(members.join(sizes, "cluster"), "jaccard-members")
     wanted = members.select("cluster", "size", "rep", F.col("first.doc_id").alias("doc_id"),
@@ -553,7 +645,7 @@ def grouped_rows(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bl
         if not more.isEmpty():
             groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
         forget(labelled, more, cells)
-    forget(members)
+    forget(members, classes_left)
     reached = classes.join(groups.withColumnRenamed("node", "rep"), "rep")
     least = reached.groupBy("component").agg(F.min("first").alias("least"))
     reached = reached.join(least, "component").where("first != least").select("hi", "lo", "n_shingles", "least")

@@ -3,6 +3,7 @@
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,6 +135,37 @@ def test_only_sets_without_a_link_go(spark):
     assert shingles.that_may_link(frame.limit(0), 80)[0].isEmpty()
 
 
+@pytest.mark.parametrize("slices", [1, 7])
+def test_lone_elements(spark, slices):
+    """Elements of a set in no other set are counted once, in however many texts and slices the set occurs."""
+    texts = [" ".join(f"w{k}" for k in r) for r in (range(50), range(20, 60), range(200, 220), [3, 300, 301])]
+    rows = [texts[0], texts[1], texts[2], texts[2] + " ", texts[3], texts[0].upper(), "", None] * 2
+    df = spark.createDataFrame([(t,) for t in rows], "text string").repartition(slices)
+    got = {r.key: r.alone for r in shingles.alone_in(df, shingles.sets_in_texts(1)).collect()}
+    keys = [shingles.digest(s)[0] for s in shingles.sets_of(pa.array(texts), 1)]
+    assert got == dict(zip(keys, [19, 10, 20, 2]))
+    assert shingles.alone_in(df.limit(0), shingles.sets_in_texts(1)).isEmpty()
+
+
+def test_a_common_passage_ties_no_sets(spark, monkeypatch):
+    """Texts that share a passage but cannot link are left out before any cluster is formed, so
+    none of them is stored as a set of a large one."""
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = [(i, passage + " " + " ".join(f"d{i}x{k}" for k in range(25))) for i in range(60)]
+    rows += [(100 + i, rows[0][1] + f" end{i}") for i in range(3)]
+    sizes, stored = {}, shingles.stored
+
+    def seen(df, name, *more):
+        out = stored(df, name, *more)
+        sizes[name] = out.count()
+        return out
+    monkeypatch.setattr(shingles, "stored", seen)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = shingles.similar_groups(df, 2, 80, 10).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: 0 if i >= 100 else i for i, _ in rows}
+    assert sizes["jaccard-left"] <= 4 and "jaccard-sets" not in sizes
+
+
 def test_near_copies_with_repeated_ids(spark):
     text = lambda tag, end="": " ".join(f"{tag}{k}" for k in range(100)) + end
     rows = [(7, text("p")), (7, text("q")), (3, text("p", " x")), (4, text("r")), (4, text("r", " y")), (5, text("r", " z")),
