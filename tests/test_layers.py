@@ -2,6 +2,7 @@ from collections import Counter
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from assayline import contracts as K
 from assayline.operators import report
@@ -37,6 +38,33 @@ def reasons(df, key):
     return {(r[key], r["quarantine_reason"], r["quarantine_type"]) for r in df.collect()}
 
 
+def test_derived_claim_columns_are_neither_exchanged_nor_sorted(spark, bronze):
+    derived = ("claim_processed_on_warning", "days_to_process", "claim_status", "collision_type_warning",
+               "bodily_injuries_warning", "total_claim_amount")
+    limit = spark.conf.get("spark.sql.maxToStringFields", "25")
+    spark.conf.set("spark.sql.maxToStringFields", "1000")
+    try:
+        plan = S.ENTITIES["claims"].tagged(bronze["claims"])._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.maxToStringFields", limit)
+    ranked = plan[plan.index("Window [row_number()"):]
+    assert "policy_id" in ranked and not [c for c in derived if c in ranked]
+
+
+def test_ties_of_claims_are_decided_by_all_columns(bronze):
+    """As if the derived columns were there when duplicates are marked."""
+    e, raw = S.ENTITIES["claims"], bronze["claims"].withColumn("_ingest_time", F.timestamp_seconds(F.lit(0)))
+    changes = {"claim_processed_on": "NULL", "bodily_injuries": "-1", "collision_type": "?", "vehicle": "7", "claim_logged_on": "2015-01-02"}
+    both = raw
+    for c, v in changes.items():
+        both = both.unionByName(raw.withColumn(c, F.lit(v)))
+    whole = R.tag(e.clean(both), e.key, e.rules(), e.drop_when())
+    halves = e.tagged(both)
+    assert halves.columns == whole.columns
+    assert Counter(map(tuple, halves.collect())) == Counter(map(tuple, whole.collect()))
+    assert halves.filter(f"quarantine_reason = 'duplicate {e.key}'").count() >= len(changes)
+
+
 def test_headers_are_read_per_file(bronze):
     rows = {r["_source_file"].rsplit("/", 1)[1]: r for r in bronze["customers"].collect()}
     assert rows["customers_2.csv"]["City_in_state"] == "Austin"
