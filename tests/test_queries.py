@@ -35,3 +35,20 @@ def test_raw_claims_are_packed(spark):
     """The names in every record made the files ten times as long as the values."""
     files = QUERIES["bronze_claims"](spark, FOLDER).inputFiles()
     assert files and all(f.endswith(".json.gz") for f in files)
+
+
+@pytest.mark.parametrize("name", ["kpi_insights"])
+def test_stored_claims_have_only_columns_that_are_read(spark, monkeypatch, name):
+    from assayline.checks import queries as Q
+    from assayline.plans import kpi
+    read = {"kpi_insights": kpi.FACTS_READ}[name]
+    stored, stage = {}, Q.stage
+
+    def noted(df, table):
+        stored[table] = df.columns
+        return stage(df, table)
+
+    monkeypatch.setattr(Q, "stage", noted)
+    Q.QUERIES[name](spark, FOLDER)
+    tables = {t: set(c) for t, c in stored.items() if t.endswith("-claims")}
+    assert list(tables.values()) == [set(read)]
