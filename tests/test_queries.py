@@ -37,11 +37,11 @@ def test_raw_claims_are_packed(spark):
     assert files and all(f.endswith(".json.gz") for f in files)
 
 
-@pytest.mark.parametrize("name", ["anomaly_rate", "kpi_insights"])
+@pytest.mark.parametrize("name", ["anomaly_rate", "kpi_insights", "kpi_json"])
 def test_stored_claims_have_only_columns_that_are_read(spark, monkeypatch, name):
     from assayline.checks import queries as Q
     from assayline.plans import anomaly, kpi
-    read = {"anomaly_rate": anomaly.CLAIMS_READ, "kpi_insights": kpi.FACTS_READ}[name]
+    read = {"anomaly_rate": anomaly.CLAIMS_READ, "kpi_insights": kpi.FACTS_READ, "kpi_json": ("customer_id",)}[name]
     stored, stage = {}, Q.stage
 
     def noted(df, table):
